@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.operators import (
@@ -16,7 +16,7 @@ from roadpulse.operators import (
     primary_key_violations,
 )
 from roadpulse.plans import anomalies, dimensions, facts, quality, segments
-from roadpulse.session import Workspace
+from roadpulse.session import Workspace, estimated_bytes
 from roadpulse.settings import Settings
 from roadpulse.sources import RawTables, load_raw
 
@@ -60,15 +60,34 @@ FOREIGN_KEYS = [
 ]
 
 
+class Star(Mapping):
+    """The model tables by name; a table is planned when it is asked for."""
+
+    def __init__(self, fleet: Fleet, keyed: bool):
+        self._fleet = fleet
+        self._keyed = keyed
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in MODEL_TABLES:
+            raise KeyError(name)
+        if name == "fact_anomaly_events" and not self._keyed:
+            return self._fleet.unkeyed_anomalies
+        return getattr(self._fleet, name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(MODEL_TABLES)
+
+    def __len__(self) -> int:
+        return len(MODEL_TABLES)
+
+
 class Fleet:
     """Lazily composed tables of one warehouse.
 
     With ``staged=False`` every table is a pure plan over the raw inputs, good
     for asking one question. With ``staged=True`` the frames with several readers
-    are kept: the checked telemetry, the rollup and the events as tables in the
-    shared folder, the ordered points in executor storage (their partitioning
-    and order then serve the detectors without another shuffle). Call
-    ``release()`` once the facts are written.
+    are written once to the shared folder: the checked telemetry, the rollup and
+    the events. Call ``release()`` when the facts are written.
     """
 
     def __init__(
@@ -83,7 +102,6 @@ class Fleet:
         self.settings = settings
         self.staged = staged
         self.workspace = Workspace(spark)
-        self._kept: list[DataFrame] = []
 
     @classmethod
     def open(cls, spark: SparkSession, root: str, settings: Settings = Settings(), **options):
@@ -92,16 +110,10 @@ class Fleet:
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         return self.workspace.cut(df, name) if self.staged else df
 
-    def _keep(self, timeline: Timeline) -> Timeline:
-        if not self.staged:
-            return timeline
-        frame = timeline.frame.persist(StorageLevel.MEMORY_AND_DISK)
-        self._kept.append(frame)
-        return timeline.with_frame(frame)
-
     def release(self) -> None:
-        while self._kept:
-            self._kept.pop().unpersist()
+        """Delete the intermediate tables. Frames planned by this fleet end here;
+        what it has written elsewhere stays."""
+        self.workspace.clear()
 
     # telemetry
 
@@ -127,11 +139,13 @@ class Fleet:
     def ordered(self) -> list[Timeline]:
         limit = self.settings.max_points_per_task
         counted = self.checked_telemetry if self.staged else self.raw.telemetry
-        hot = hot_keys(counted, "vehicle_id", limit, self.workspace)
+        hot = None
+        if estimated_bytes(self.raw.telemetry) > self.settings.one_task_bytes:
+            hot = hot_keys(counted, "vehicle_id", limit, self.workspace)
         timelines = open_timelines(
             self.clean_telemetry, "vehicle_id", segments.ORDER, hot, limit, self.workspace
         )
-        return [self._keep(segments.order_points(t)) for t in timelines]
+        return [segments.order_points(t) for t in timelines]
 
     @cached_property
     def tel_ordered(self) -> DataFrame:
@@ -186,20 +200,17 @@ class Fleet:
 
     @cached_property
     def unkeyed_anomalies(self) -> DataFrame:
-        """The event fact without its surrogate key, which only the table itself
-        needs; a staged fleet reads the written fact."""
-        if self.staged:
-            return self.fact_anomaly_events.drop("anomaly_key")
-        return anomalies.anomaly_facts(self.events(), self.settings)
+        """The event fact without its surrogate key, which only the delivered table
+        needs."""
+        return self._cut(anomalies.anomaly_facts(self.events(), self.settings), "events")
 
     @cached_property
     def fact_anomaly_events(self) -> DataFrame:
-        return number_rows(
-            anomalies.anomaly_facts(self.events(), self.settings),
-            "anomaly_key",
-            anomalies.KEY_ORDER,
-            self.workspace,
-        )
+        events = self.unkeyed_anomalies
+        if not self.staged:
+            # numbering reads its input twice
+            events = self.workspace.cut(events, "events")
+        return number_rows(events, "anomaly_key", anomalies.KEY_ORDER, self.workspace)
 
     @cached_property
     def rollup(self) -> DataFrame:
@@ -219,17 +230,10 @@ class Fleet:
 
     # the model
 
-    def star(self, keyed: bool = True) -> dict[str, DataFrame]:
+    def star(self, keyed: bool = True) -> Star:
         """All model tables. Reports need no surrogate key: ``keyed=False`` leaves
         it out and saves the global sort."""
-        tables = {
-            name: getattr(self, name)
-            for name in MODEL_TABLES
-            if keyed or name != "fact_anomaly_events"
-        }
-        if not keyed:
-            tables["fact_anomaly_events"] = self.unkeyed_anomalies
-        return tables
+        return Star(self, keyed)
 
     def pk_violations(self) -> DataFrame:
         return primary_key_violations(self.star(), PRIMARY_KEYS)

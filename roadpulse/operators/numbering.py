@@ -17,7 +17,8 @@ def number_rows(
     are spread; each row keeps its partition and place there. The sorted table is
     written, since partition bounds are sampled, and read back; adding the sizes
     of the partitions before turns places into numbers. The window below runs
-    over one row per partition, not over the data.
+    over one row per partition, not over the data. ``df`` should be cheap to read,
+    since sampling reads it once more.
     """
     sort = [F.col(c).asc_nulls_last() for c in order]
     placed = workspace.cut(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,34 +20,38 @@ def mark_runs(
     previous_moment: str,
     max_gap_sec: int,
 ) -> Timeline:
-    """Add, per flag, the position at which the row's run started (NULL if the
-    row is not flagged).
+    """Keep the points that any flag is raised on and add, per flag, the position
+    at which the point's run started (NULL where the flag is not raised).
 
     A run goes on while the point right before is flagged too and not more than
     ``max_gap_sec`` earlier (strictly: a gap of exactly that many seconds holds).
-    Looking at the direct neighbour needs no second ordering of the flagged rows,
-    and all flags share the same window.
+    All flags share the windows, which run over the kept points only and in the
+    order the points already have; whether a kept point's neighbour was dropped
+    shows in the positions.
     """
-    flagged = timeline.with_frame(
-        timeline.frame.select(
-            "*", *[F.coalesce(c, F.lit(False)).alias(f"_on_{n}") for n, c in flags.items()]
+    columns = timeline.frame.columns
+    kept = timeline.with_frame(
+        timeline.frame.select("*", *[c.alias(f"_on_{n}") for n, c in flags.items()]).filter(
+            reduce(or_, [F.col(f"_on_{n}") for n in flags])
         )
-    ).with_previous({f"_was_{n}": F.col(f"_on_{n}") for n in flags})
-    too_late = F.coalesce(
-        elapsed_seconds(F.col(previous_moment), F.col(moment)) > max_gap_sec, F.lit(False)
+    ).with_previous(
+        {"_last": F.col(position)} | {f"_was_{n}": F.col(f"_on_{n}") for n in flags}
+    )
+    seconds = elapsed_seconds(F.col(previous_moment), F.col(moment))
+    goes_on = (F.col("_last") == F.col(position) - 1) & (
+        F.coalesce(seconds, F.lit(0)) <= max_gap_sec
     )
     starts = {
         n: F.when(
-            F.col(f"_on_{n}") & (~F.coalesce(f"_was_{n}", F.lit(False)) | too_late),
+            F.col(f"_on_{n}") & ~F.coalesce(goes_on & F.col(f"_was_{n}"), F.lit(False)),
             F.col(position),
         )
         for n in flags
     }
-    marked = flagged.with_latest({f"_run_{n}": c for n, c in starts.items()})
+    marked = kept.with_latest({f"_run_{n}": c for n, c in starts.items()})
     return marked.with_frame(
         marked.frame.select(
-            *timeline.frame.columns,
-            *[F.when(F.col(f"_on_{n}"), F.col(f"_run_{n}")).alias(n) for n in flags],
+            *columns, *[F.when(F.col(f"_on_{n}"), F.col(f"_run_{n}")).alias(n) for n in flags]
         )
     )
 
@@ -63,8 +70,4 @@ def runs(
     marked = mark_runs(
         timeline, {"run": flag}, position, moment, previous_moment, max_gap_sec
     )
-    return (
-        marked.frame.filter(F.col("run").isNotNull())
-        .groupBy(timeline.key, "run")
-        .agg(*aggregates)
-    )
+    return marked.frame.groupBy(timeline.key, "run").agg(*aggregates)

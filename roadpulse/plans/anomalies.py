@@ -101,9 +101,9 @@ def collapse(
 ) -> DataFrame:
     """Events of one timeline, for all chosen detectors in one pass.
 
-    The points are windowed once; a point that is part of events of several
-    types contributes one narrow record to each, and the records are grouped per
-    (vehicle, type, run), combining in the map tasks.
+    A point that is part of events of several types contributes one narrow record
+    to each, and the records are grouped per (vehicle, type, run), combining in
+    the map tasks.
     """
     marked = mark_runs(
         timeline.with_frame(with_speed_limit(timeline.frame, vehicles)),
@@ -113,7 +113,6 @@ def collapse(
         "prev_ts",
         settings.run_gap_sec,
     )
-    in_any_run = reduce(lambda a, b: a | b, [F.col(d.column).isNotNull() for d in chosen])
     records = F.array_compact(
         F.array(
             *[
@@ -132,10 +131,11 @@ def collapse(
         )
     )
     kept = ["vehicle_id", "driver_id", "trip_id", "event_timestamp", "latitude", "longitude"]
-    points = marked.frame.filter(in_any_run).select(*kept, "seq", F.inline(records))
+    points = marked.frame.select(*kept, "seq", F.inline(records))
     seq, moment = F.col("seq"), F.col("event_timestamp")
     events = (
-        points.groupBy("vehicle_id", "anomaly_type", "run")
+        # the run comes first: sorting for the groups then compares numbers
+        points.groupBy("run", "vehicle_id", "anomaly_type")
         .agg(
             first_known(F.col("driver_id"), seq, moment).alias("driver_id"),
             first_known(F.col("trip_id"), seq, moment).alias("trip_id"),

@@ -30,8 +30,8 @@ def _rollup(timeline: Timeline, settings: Settings) -> DataFrame:
         "vehicle_id",
         "driver_id",
         "trip_id",
-        date_key(F.col("event_timestamp")).alias("own_day"),
-        date_key(F.col("prev_ts")).alias("segment_day"),
+        F.to_date("event_timestamp").alias("own_day"),
+        F.to_date("prev_ts").alias("segment_day"),
     ).agg(
         F.min("event_timestamp").alias("first_at"),
         F.max("event_timestamp").alias("last_at"),
@@ -73,7 +73,7 @@ def daily_vehicle_summary(rollup: DataFrame, anomalies: DataFrame) -> DataFrame:
     and times to the day on which the segment began."""
     none = F.lit(None)
     of_points = F.struct(
-        F.col("own_day").alias("date_key"),
+        date_key(F.col("own_day")).alias("date_key"),
         F.lit(True).alias("has_points"),
         F.col("trip_id").alias("trip_id"),
         "moving_speed_sum",
@@ -84,7 +84,7 @@ def daily_vehicle_summary(rollup: DataFrame, anomalies: DataFrame) -> DataFrame:
         none.cast("bigint").alias("idle_sec"),
     )
     of_segments = F.struct(
-        F.col("segment_day").alias("date_key"),
+        date_key(F.col("segment_day")).alias("date_key"),
         F.lit(False).alias("has_points"),
         none.cast("string").alias("trip_id"),
         none.cast("double").alias("moving_speed_sum"),

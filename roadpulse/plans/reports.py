@@ -1,12 +1,14 @@
 """Report queries over the star schema, under an optional filter context.
 
-``star`` maps table names to DataFrames, either fresh from ``Fleet.star()`` or
-loaded from a written warehouse. Facts are counted per foreign key before they
+``star`` maps table names to DataFrames, either planned on access by
+``Fleet.star()`` or loaded from a written warehouse. Facts are counted per foreign key before they
 meet a dimension, so joins see a few rows per key and hot keys cost nothing.
 """
 
 from __future__ import annotations
 
+from collections import ChainMap
+from collections.abc import Mapping
 from datetime import date
 from functools import reduce
 
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions import round_half_away, settle
 from roadpulse.settings import ANOMALY_TYPES, GPS_JUMP, OVERSPEEDING
 
-Star = dict[str, DataFrame]
+Star = Mapping[str, DataFrame]
 
 FACTS = ["fact_daily_vehicle_summary", "fact_trip_summary", "fact_anomaly_events"]
 DAY_NAMES = [
@@ -37,7 +39,7 @@ def in_context(
 ) -> Star:
     """Apply slicers. Filters flow one way: customer -> vehicle -> facts, and
     driver and date -> facts. A dimension without a slicer joins nothing."""
-    out = dict(star)
+    out = ChainMap({}, star)
     if customer_names is not None:
         out["dim_customer"] = star["dim_customer"].filter(
             F.col("customer_name").isin(customer_names)
@@ -64,7 +66,7 @@ def in_context(
     for dim, key in [
         ("dim_vehicle", "vehicle_id"), ("dim_driver", "driver_id"), ("dim_date", "date_key"),
     ]:
-        if out[dim] is star[dim]:
+        if dim not in out.maps[0]:
             continue
         for fact in FACTS:
             if key in out[fact].columns:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate; for file scans it comes from the file sizes,
+    so asking starts no job."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes()))
+
+
+@cache
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """Stand-in for the shared folder in local mode; removed at exit."""
+    return tempfile.TemporaryDirectory(prefix="roadpulse-")
+
+
 class Workspace:
     """Writes intermediate tables below ``spark.checkpoint.dir``.
 
@@ -36,8 +50,7 @@ class Workspace:
                     raise RuntimeError(
                         "set spark.checkpoint.dir to a folder that all executors share"
                     )
-                shared = tempfile.mkdtemp(prefix="roadpulse-")
-                self.spark.conf.set("spark.checkpoint.dir", shared)
+                shared = _local_folder().name
             self._root = f"{shared.rstrip('/')}/roadpulse-{uuid.uuid4().hex}"
         return self._root
 
@@ -46,3 +59,10 @@ class Workspace:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Delete the tables written so far; frames that read them end here."""
+        if self._root is not None:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self._root)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+            self._root = None

@@ -24,9 +24,15 @@ class RawTables:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project onto a declared schema. Casts to a column's own type vanish in the
-    optimizer, so column pruning and filter pushdown still reach the scan."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Project onto a declared schema, casting only where the type differs, so that
+    column pruning and filter pushdown still reach the scan."""
+    found = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(
+        [
+            f.name if found[f.name] == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

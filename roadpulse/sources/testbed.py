@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.session import configure
 from roadpulse.settings import Settings
@@ -88,6 +88,15 @@ FROM {events}
 GROUP BY user_id
 """
 
+# The columns read from each table; declaring them saves a look at every footer.
+COLUMNS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE",
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING",
+}
+
 # Points of one test vehicle are minutes apart, not seconds, hence the longer
 # run gap. The calendar starts on the first day found in the data.
 TESTBED_SETTINGS = Settings(
@@ -98,18 +107,17 @@ TESTBED_SETTINGS = Settings(
 def load_testbed(spark: SparkSession, sf_dir: str) -> RawTables:
     configure(spark)
 
-    def table(name: str):
-        return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-    events = table("events")
-    views = [
-        (TELEMETRY_SQL, {"events": events}, schemas.TELEMETRY),
-        (VEHICLES_SQL, {"nation": table("nation")}, schemas.VEHICLES),
-        (DRIVERS_SQL, {"customer": table("customer")}, schemas.DRIVERS),
-        (CUSTOMERS_SQL, {"region": table("region")}, schemas.CUSTOMERS),
-        (TRIPS_SQL, {"events": events}, schemas.TRIPS),
-    ]
-    telemetry, vehicles, drivers, customers, trips = (
-        conform(spark.sql(text, **inputs), schema) for text, inputs, schema in views
+    def view(text: str, table: str, schema) -> DataFrame:
+        columns = spark.read.schema(COLUMNS[table]).parquet(
+            f"{sf_dir.rstrip('/')}/{table}.parquet"
+        )
+        return conform(spark.sql(text, **{table: columns}), schema)
+
+    return RawTables(
+        telemetry=view(TELEMETRY_SQL, "events", schemas.TELEMETRY),
+        vehicles=view(VEHICLES_SQL, "nation", schemas.VEHICLES),
+        drivers=view(DRIVERS_SQL, "customer", schemas.DRIVERS),
+        customers=view(CUSTOMERS_SQL, "region", schemas.CUSTOMERS),
+        trips=view(TRIPS_SQL, "events", schemas.TRIPS),
+        speed_limits=speed_limits(spark),
     )
-    return RawTables(telemetry, vehicles, drivers, customers, trips, speed_limits(spark))

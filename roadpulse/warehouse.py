@@ -15,11 +15,13 @@ def build_warehouse(
 
     The CSV export reads the finished Parquet files, not the plans behind them.
     """
+    star = fleet.star()
+    schemas = {name: df.schema for name, df in star.items()}
     try:
-        write_parquet(fleet.star(), f"{out}/parquet", by_day=by_day)
+        write_parquet(star, f"{out}/parquet", by_day=by_day)
     finally:
         fleet.release()
-    written = load_warehouse(fleet.spark, f"{out}/parquet")
+    written = load_warehouse(fleet.spark, f"{out}/parquet", schemas)
     if csv:
         write_csv(written, f"{out}/csv")
     return written
