@@ -313,12 +313,16 @@ def _refers(child: str, parent: str, column: str) -> str:
                   (SELECT 1 FROM {parent} p WHERE p.{column} = c.{column})) AS orphan_rows"""
 
 
-def _kpis(vehicle: str = "true", dated: str = "true") -> str:
-    """Fleet measures; ``vehicle`` and ``dated`` are slicer conditions."""
+def _kpis(vehicle: str = "true", dated: str = "true", driver: str = "true") -> str:
+    """Fleet measures; the arguments are slicer conditions."""
     chosen = f"""vehicle_id IN (SELECT vehicle_id FROM dim_vehicle v
                  JOIN dim_customer c ON c.customer_id = v.customer_id WHERE {vehicle})"""
     days = f"date_key IN (SELECT date_key FROM dim_date WHERE {dated})"
+    drivers = f"driver_id IN (SELECT driver_id FROM dim_driver WHERE {driver})"
     return f"""
+        SELECT * EXCLUDE (high), if(driver_distance_km > 0,
+               {_r('100 - least(100.0, high / driver_distance_km * 300)', 0)}, NULL)
+                 AS safety_score FROM (
         SELECT (SELECT count(DISTINCT vehicle_id) FROM dim_vehicle WHERE {chosen})
                  AS total_vehicles,
                d.*, t.*, a.*,
@@ -333,10 +337,12 @@ def _kpis(vehicle: str = "true", dated: str = "true") -> str:
               FROM fact_daily_vehicle_summary WHERE {chosen} AND {days}) d,
              (SELECT count(DISTINCT trip_id) AS total_trips,
                      {_r('sum(actual_distance_km)')} AS driver_distance_km
-              FROM fact_trip_summary WHERE {chosen} AND {days}) t,
+              FROM fact_trip_summary WHERE {chosen} AND {days} AND {drivers}) t,
              (SELECT count(*) AS total_anomalies,
-                     count(*) FILTER (WHERE anomaly_type <> 'GPS_JUMP') AS driver_anomalies
-              FROM fact_anomaly_events WHERE {chosen} AND {days}) a"""
+                     count(*) FILTER (WHERE anomaly_type <> 'GPS_JUMP') AS driver_anomalies,
+                     count(*) FILTER (WHERE anomaly_type = 'OVERSPEEDING'
+                                        AND severity = 'HIGH') AS high
+              FROM fact_anomaly_events WHERE {chosen} AND {days} AND {drivers}) a) m"""
 
 
 def _pivoted(column: str, values: list[str]) -> str:
@@ -408,6 +414,7 @@ def statements() -> dict[str, str]:
             "customer_name = 'ASIA' AND vehicle_type = 'LCV'",
             "date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
         ),
+        "kpi_driver": _kpis(driver="driver_name = 'Customer#000000005'"),
         "distance_by_vehicle_type": f"""
             SELECT vehicle_type, {_r('sum(total_distance_km)')} AS total_distance_km
             FROM fact_daily_vehicle_summary JOIN dim_vehicle USING (vehicle_id)

@@ -110,6 +110,13 @@ class Fleet:
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         return self.workspace.cut(df, name) if self.staged else df
 
+    def _settled(self, timeline: Timeline) -> Timeline:
+        """A sliced timeline reads its frame twice per look-back step, so it is
+        written before the next step."""
+        if timeline.slice is None:
+            return timeline
+        return timeline.with_frame(self.workspace.cut(timeline.frame, "hot-ordered"))
+
     def release(self) -> None:
         """Delete the intermediate tables. Frames planned by this fleet end here;
         what it has written elsewhere stays."""
@@ -145,7 +152,7 @@ class Fleet:
         timelines = open_timelines(
             self.clean_telemetry, "vehicle_id", segments.ORDER, hot, limit, self.workspace
         )
-        return [segments.order_points(t) for t in timelines]
+        return [self._settled(segments.order_points(t)) for t in timelines]
 
     @cached_property
     def tel_ordered(self) -> DataFrame:

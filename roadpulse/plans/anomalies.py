@@ -113,25 +113,23 @@ def collapse(
         "prev_ts",
         settings.run_gap_sec,
     )
-    records = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(d.column).isNotNull(),
-                    F.struct(
-                        F.lit(d.anomaly_type).alias("anomaly_type"),
-                        F.col(d.column).alias("run"),
-                        d.begins.alias("begins"),
-                        d.peak.alias("peak"),
-                        d.threshold.alias("threshold"),
-                    ),
-                )
-                for d in chosen
-            ]
-        )
+    records = F.array(
+        *[
+            F.when(
+                F.col(d.column).isNotNull(),
+                F.struct(
+                    F.lit(d.anomaly_type).alias("anomaly_type"),
+                    F.col(d.column).alias("run"),
+                    d.begins.alias("begins"),
+                    d.peak.alias("peak"),
+                    d.threshold.alias("threshold"),
+                ),
+            )
+            for d in chosen
+        ]
     )
     kept = ["vehicle_id", "driver_id", "trip_id", "event_timestamp", "latitude", "longitude"]
-    points = marked.frame.select(*kept, "seq", F.inline(records))
+    points = marked.frame.select(*kept, "seq", F.inline(records)).filter("run IS NOT NULL")
     seq, moment = F.col("seq"), F.col("event_timestamp")
     events = (
         # the run comes first: sorting for the groups then compares numbers

@@ -15,8 +15,8 @@ def dim_customer(customers: DataFrame) -> DataFrame:
 
 def dim_vehicle(vehicles: DataFrame, speed_limits: DataFrame) -> DataFrame:
     """Vehicles with the limit of their type (NULL for a type without one)."""
-    # the limits are the fixed four-row list of the settings
-    return vehicles.join(F.broadcast(speed_limits), "vehicle_type", "left").select(
+    # no hint needed: the optimizer knows that the limits are a four-row list
+    return vehicles.join(speed_limits, "vehicle_type", "left").select(
         "vehicle_id",
         "vehicle_number",
         "vehicle_type",
@@ -36,8 +36,9 @@ def dim_driver(drivers: DataFrame) -> DataFrame:
         F.col("vehicle_id").alias("assigned_vehicle_id"),
         "joining_date",
     )
-    unknown = drivers.sparkSession.createDataFrame(
-        [(UNKNOWN_DRIVER, "Unknown Driver", None, None, None, None)], columns.schema
+    values = {"driver_id": UNKNOWN_DRIVER, "driver_name": "Unknown Driver"}
+    unknown = drivers.sparkSession.range(1).select(
+        [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in columns.schema]
     )
     return columns.unionByName(unknown)
 

@@ -96,12 +96,8 @@ def daily_vehicle_summary(rollup: DataFrame, anomalies: DataFrame) -> DataFrame:
     )
     shares = rollup.select(
         "vehicle_id",
-        F.inline(
-            F.array_compact(
-                F.array(of_points, F.when(F.col("segment_day").isNotNull(), of_segments))
-            )
-        ),
-    )
+        F.inline(F.array(of_points, F.when(F.col("segment_day").isNotNull(), of_segments))),
+    ).filter("has_points IS NOT NULL")
     days = (
         shares.groupBy("date_key", "vehicle_id")
         .agg(

@@ -32,13 +32,15 @@ def in_context(
     customer_names: list[str] | None = None,
     vehicle_types: list[str] | None = None,
     driver_ids: list[str] | None = None,
+    driver_names: list[str] | None = None,
     from_day: date | None = None,
     to_day: date | None = None,
     severities: list[str] | None = None,
     anomaly_types: list[str] | None = None,
 ) -> Star:
     """Apply slicers. Filters flow one way: customer -> vehicle -> facts, and
-    driver and date -> facts. A dimension without a slicer joins nothing."""
+    driver and date -> facts. A dimension without a slicer joins nothing. Names
+    may be shared by several drivers; ``driver_ids`` picks one person."""
     out = ChainMap({}, star)
     if customer_names is not None:
         out["dim_customer"] = star["dim_customer"].filter(
@@ -50,7 +52,9 @@ def in_context(
     if vehicle_types is not None:
         out["dim_vehicle"] = out["dim_vehicle"].filter(F.col("vehicle_type").isin(vehicle_types))
     if driver_ids is not None:
-        out["dim_driver"] = star["dim_driver"].filter(F.col("driver_id").isin(driver_ids))
+        out["dim_driver"] = out["dim_driver"].filter(F.col("driver_id").isin(driver_ids))
+    if driver_names is not None:
+        out["dim_driver"] = out["dim_driver"].filter(F.col("driver_name").isin(driver_names))
     if from_day is not None:
         out["dim_date"] = out["dim_date"].filter(F.col("date") >= F.lit(from_day))
     if to_day is not None:
@@ -78,6 +82,10 @@ def _round2(value: Column) -> Column:
     return round_half_away(settle(value), 2)
 
 
+def _is_high_overspeed() -> Column:
+    return (F.col("anomaly_type") == OVERSPEEDING) & (F.col("severity") == "HIGH")
+
+
 def _one_row(parts: list[DataFrame]) -> DataFrame:
     """Put one-row results side by side without a cross join."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -92,8 +100,9 @@ def fleet_kpis(star: Star, **slicers) -> DataFrame:
         star, **{k: v for k, v in slicers.items() if k not in ("from_day", "to_day")}
     )
     drove = F.when(F.col("total_distance_km") > 0, F.col("vehicle_id"))
+    kind = F.col("anomaly_type")
     last_day = star["dim_date"].agg(F.max("date_key").alias("date_key"))
-    return _one_row(
+    measures = _one_row(
         [
             context["dim_vehicle"].agg(F.count_distinct("vehicle_id").alias("total_vehicles")),
             context["fact_daily_vehicle_summary"].agg(
@@ -108,13 +117,16 @@ def fleet_kpis(star: Star, **slicers) -> DataFrame:
             ),
             context["fact_anomaly_events"].agg(
                 F.count("*").alias("total_anomalies"),
-                F.count_if(F.col("anomaly_type") != GPS_JUMP).alias("driver_anomalies"),
+                F.count_if(kind != GPS_JUMP).alias("driver_anomalies"),
+                F.count_if(_is_high_overspeed()).alias("_high"),
             ),
             undated["fact_daily_vehicle_summary"]
             .join(last_day, "date_key", "left_semi")
             .agg(F.count_distinct(drove).alias("active_today")),
         ]
     )
+    score = safety_score(F.col("_high"), F.col("driver_distance_km"))
+    return measures.withColumn("safety_score", score).drop("_high")
 
 
 def distance_by_vehicle_type(star: Star) -> DataFrame:
@@ -245,15 +257,14 @@ def driver_scorecard(star: Star) -> DataFrame:
     """Per driver: trips, distance, anomalies, safety score and its band. Keyed by
     driver_id, since names repeat; distance comes from the trip fact, the only
     one that knows the driver."""
-    kind, severity = F.col("anomaly_type"), F.col("severity")
     driven = star["fact_trip_summary"].groupBy("driver_id").agg(
         F.count_distinct("trip_id").alias("trips"),
         _round2(F.sum("actual_distance_km")).alias("km"),
     )
     events = star["fact_anomaly_events"].groupBy("driver_id").agg(
         F.count("*").alias("anomalies"),
-        F.count_if(kind != GPS_JUMP).alias("own"),
-        F.count_if((kind == OVERSPEEDING) & (severity == "HIGH")).alias("high"),
+        F.count_if(F.col("anomaly_type") != GPS_JUMP).alias("own"),
+        F.count_if(_is_high_overspeed()).alias("high"),
     )
     scored = (
         star["dim_driver"]

@@ -10,9 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the SQL options that results depend on: telemetry is UTC."""
+    """Set the SQL options the plans rely on."""
+    # telemetry is UTC
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # A master too large to broadcast is joined by shuffles. Split a hot id there
+    # even where the result could have served the next step unshuffled.
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 

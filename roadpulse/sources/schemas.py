@@ -60,7 +60,3 @@ TRIPS = _schema([
     ("status", T.StringType()),
 ])
 
-SPEED_LIMIT = _schema([
-    ("vehicle_type", T.StringType()),
-    ("speed_limit", T.IntegerType()),
-])
