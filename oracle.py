@@ -40,7 +40,7 @@ def _missing(master: str, column: str) -> str:
     )
 
 
-# Subqueries in dependency order.
+# Subqueries in dependency order. The wording of the audit log.
 PARTS: dict[str, str] = {
     "telemetry": _tables(testbed.TELEMETRY_SQL),
     "vehicles": _tables(testbed.VEHICLES_SQL),

@@ -47,3 +47,19 @@ def test_staging_changes_nothing(spark, fleets):
     for table in ("dq_log", "fact_daily_vehicle_summary", "fact_anomaly_events"):
         assert rows(getattr(whole, table)) == rows(getattr(staged, table))
     staged.release()
+
+
+def test_masters_too_large_to_broadcast(spark, fleets):
+    """Without broadcasts the masters are sort-merged, to the same result."""
+    whole, _ = fleets
+    expected = rows(whole.fact_trip_summary)
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for name in names:
+        spark.conf.set(name, "-1")
+    try:
+        merged = Fleet(spark, whole.raw, TESTBED_SETTINGS).fact_trip_summary
+        assert rows(merged) == expected
+        assert "BroadcastHashJoin" not in merged._jdf.queryExecution().toString()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
