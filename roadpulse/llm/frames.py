@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,15 +22,32 @@ def cut(df: DataFrame) -> DataFrame:
     """The frame, written below `spark.checkpoint.dir`, so that neither a lost executor
     nor a second reader computes it again. Only a local session without that setting gets
     a folder of its own."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
+    _folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _folder(spark: SparkSession) -> str:
+    """The folder for what is cut, set for the context where Spark has not done so."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
         where = spark.conf.get("spark.checkpoint.dir", None)
         if where is None:
-            if not spark.sparkContext.master.startswith("local"):
+            if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             where = tempfile.mkdtemp(prefix="checkpoint-")
-        spark.sparkContext.setCheckpointDir(where)
-    return df.checkpoint(eager=True)
+        context.setCheckpointDir(where)
+    return context.getCheckpointDir()
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Like cut() for larger frames: a Parquet table in the same folder, which is smaller
+    than a checkpoint and read by column. It goes when the application ends."""
+    spark = df.sparkSession
+    where = f"{_folder(spark)}/table-{uuid.uuid4()}"
+    df.write.parquet(where)
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(where)
 
 
 def text_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -11,6 +11,7 @@ from .quality_rules import (
     WORD_SHARES,
     Limits,
 )
+from .url_rules import HOST_GLOBS, Rule
 
 
 def _text(value: str) -> str:
@@ -98,3 +99,98 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
     AND word_distance <= {limits.max_word_distance} AS kept
 FROM judged LEFT JOIN repeated USING (r)
 """
+
+
+LOWER = "translate(%s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS = "regexp_extract_all(%s, '[^\\x20\\x09-\\x0D]+')"
+
+
+def contamination(size: int = 5, threshold: float = 0.8) -> str:
+    def shingles(name: str, row_id: str) -> str:
+        words = WORDS % (LOWER % "coalesce(text, '')")
+        return f"""
+  SELECT DISTINCT {row_id}, unnest(CASE WHEN len(w) BETWEEN 1 AND {size} THEN
+    [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - {size - 2}),
+    lambda i: array_to_string(w[i:i+{size - 1}], ' ')) END) AS s
+  FROM (SELECT {row_id}, {words} AS w FROM {name})"""
+
+    return f"""
+WITH items AS ({shingles("benchmark", "item_id")}), docs AS ({shingles("documents", "doc_id")}),
+sizes AS (SELECT item_id, count(*) AS n_shingles FROM items GROUP BY item_id)
+SELECT doc_id, item_id, n_shingles::INTEGER AS n_shingles, count(*)::INTEGER AS n_common
+FROM docs JOIN items USING (s) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= {threshold} * n_shingles - 1e-9
+"""
+
+
+def mixing(max_repeats: float, block_docs: int = 1024, seed: int = 7) -> str:
+    """With the exponent in closed form: passes of the smallest source over passes of the
+    largest are the ratio of their tokens to the power of one less the exponent."""
+    words = WORDS % "coalesce(text, '')"
+    return f"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(source, '') AS src, len({words})::BIGINT AS n_tokens,
+    md5(concat_ws(':', {seed}, coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))) AS ord
+  FROM documents
+), counts AS (
+  SELECT src, sum(n_tokens)::BIGINT AS tokens, count(*) AS docs FROM sized GROUP BY src
+), fit AS (
+  SELECT max(tokens)::DOUBLE AS most, CASE WHEN max(tokens) <= {max_repeats} * min(tokens) THEN 0
+    ELSE 1 - ln({max_repeats}) / ln(max(tokens) / min(tokens)::DOUBLE) END AS a
+  FROM counts WHERE tokens > 0
+), quotas AS (
+  SELECT src, ceil(docs / {block_docs}.0)::BIGINT AS blocks, greatest(tokens, 1) AS pass,
+    CASE WHEN tokens = 0 THEN 1
+      ELSE round(most * (tokens / most) ** a)::BIGINT END AS quota
+  FROM counts, fit
+), dealt AS (
+  SELECT sized.*, pass, quota, ('0x' || substr(ord, 1, 8))::BIGINT % blocks AS b
+  FROM sized JOIN quotas USING (src)
+), epochs AS (
+  SELECT src, b, pass, quota, sum(n_tokens)::BIGINT AS tokens,
+    unnest(range(0, ((quota + pass - 1) // pass))) AS epoch
+  FROM dealt GROUP BY src, b, pass, quota
+), plan AS (
+  SELECT *, row_number() OVER w - 1 AS block, sum(tokens) OVER w - tokens AS before
+  FROM epochs
+  WINDOW w AS (PARTITION BY src, epoch
+               ORDER BY md5(concat_ws(':', {seed}, src, epoch, b)), b)
+), taken AS (
+  SELECT doc_id, source, n_tokens, epoch, block, before, (epoch + 1) * plan.pass <= plan.quota AS whole,
+    plan.quota - epoch * plan.pass - before AS left_over,
+    sum(n_tokens) OVER (PARTITION BY src, b, epoch ORDER BY ord
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far
+  FROM dealt JOIN plan USING (src, b)
+)
+SELECT doc_id, source, n_tokens, epoch::INTEGER AS epoch, block::INTEGER AS block FROM taken
+WHERE whole OR (left_over > 0 AND so_far <= left_over)
+"""
+
+
+def url_filters(rules: list[Rule], host_globs: tuple[str, ...] = HOST_GLOBS) -> str:
+    ranked = sorted(rules, key=lambda r: -len(r.name))
+
+    def arms(value) -> str:
+        return " ".join(
+            f"WHEN (host = {_text(r.host)} OR ends_with(host, {_text('.' + r.host)}))"
+            f" AND starts_with(path, {_text(r.path)}) THEN {_text(value(r))}"
+            for r in ranked
+        )
+
+    globs = " OR ".join(f"host LIKE {_text(g.replace('*', '%'))}" for g in host_globs)
+    return f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://')
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), raw AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS host, rest FROM cut
+), parts AS (
+  SELECT page_id, {LOWER % "host"} AS host,
+    regexp_extract(substr(rest, len(host) + 1), '^[^?#]*') AS path
+  FROM raw
+)
+SELECT page_id, host, path, CASE {arms(lambda r: r.name)} END AS rule,
+  CASE {arms(lambda r: r.verdict)} WHEN {globs} THEN 'block' ELSE 'allow' END AS verdict
+FROM parts
+"""
