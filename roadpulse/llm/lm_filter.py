@@ -51,8 +51,8 @@ class Shape:
     """base: count quantisation; probes and bits for each entry of the filter."""
 
     base: float = 1.5
-    probes: int = 4
-    bits: int = 8
+    probes: int = 6
+    bits: int = 10
     prior: float = 500.0  # k
     segment_bytes: int = 64 << 20
     resident_bytes: int = 192 << 20

@@ -38,11 +38,13 @@ class Setup:
     dims: int = 8
     shortest: int = 3
     longest: int = 5
-    window: int = 8  # words
+    window: int = 2  # words
     sharpness: float = 4.0  # of the smooth maximum
     window_steps: int = 25
     document_steps: int = 40
     rate: float = 0.05
+    decay: float = 0.1
+    min_texts: int = 4
     max_rows: int = 1500  # of each label
     max_bytes: int = 48 << 20
     seed: int = 11
@@ -131,8 +133,10 @@ def _worst(logits: np.ndarray, begins: np.ndarray, setup: Setup) -> np.ndarray:
 
 
 class _Adam:
-    def __init__(self, rate: float):
-        self.rate, self.step, self.state = rate, 0, {}
+    """Adam with decoupled weight decay."""
+
+    def __init__(self, rate: float, decay: float):
+        self.rate, self.decay, self.step, self.state = rate, decay, 0, {}
 
     def update(self, name: str, value: np.ndarray, grad: np.ndarray) -> None:
         m, v = self.state.setdefault(name, [np.zeros_like(value), np.zeros_like(value)])
@@ -140,58 +144,71 @@ class _Adam:
         v += 0.01 * (grad**2 - v)
         t = self.step
         value -= self.rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        if name != "offset":
+            value *= 1 - self.rate * self.decay
+
+
+def _frequent(bucket: np.ndarray, begins: np.ndarray, word: np.ndarray, sizes: np.ndarray,
+              setup: Setup) -> np.ndarray:
+    """The buckets with n-grams in at least `min_texts` of the texts."""
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    pairs = np.unique(text * len(begins) + word)  # (text, word)
+    grams = np.diff(np.append(begins, len(bucket)))
+    owner, text = pairs % len(begins), pairs // len(begins)
+    n = grams[owner]
+    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    own = bucket[np.repeat(begins[owner], n) + place]
+    seen = np.unique(np.repeat(text, n) * setup.buckets + own) % setup.buckets
+    return np.flatnonzero(np.bincount(seen, minlength=setup.buckets) >= setup.min_texts)
 
 
 def train(texts: list[str], labels: np.ndarray, share: float, setup: Setup) -> Toxicity:
-    """texts are not empty; both labels are there."""
+    """texts are not empty; both labels are there.
+
+    A window's log-odds are means of one number for each n-gram, its vector times the
+    softmax's direction; both gradients follow from that number's."""
     rng = np.random.default_rng(setup.seed)
     words, word, sizes = _tokens(texts)
     bucket, begins = _bag(words, setup)
     windows, texts_at = _windows(sizes, setup.window)
+    kept = _frequent(bucket, begins, word, sizes, setup)
     grams_of = np.diff(np.append(begins, len(bucket)))
     tokens_of = np.diff(np.append(windows, len(word)))
-    windows_of = np.diff(np.append(texts_at, len(windows)))
     gram_owner = np.repeat(np.arange(len(words)), grams_of)
     token_owner = np.repeat(np.arange(len(windows)), tokens_of)
-    text_of_window = np.repeat(np.arange(len(texts)), windows_of)
-    vectors = rng.normal(0, 0.1, (setup.buckets, setup.dims)).astype(np.float32)
-    softmax = rng.normal(0, 0.3, (setup.dims, 2)).astype(np.float32)
-    offset = np.zeros(1, np.float32)
+    text_of = np.repeat(np.arange(len(texts)), np.diff(np.append(texts_at, len(windows))))
+    compact = np.full(setup.buckets, len(kept))  # the last one is for all that are rare
+    compact[kept] = np.arange(len(kept))
+    gram = compact[bucket]
+    vectors = rng.normal(0, 0.1, (len(kept), setup.dims))
+    softmax = rng.normal(0, 0.3, (setup.dims, 2))
+    offset = np.zeros(1)
     balance = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
-    adam = _Adam(setup.rate)
-
-    def scatter(values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-        return np.stack(
-            [np.bincount(at, values[:, i], n) for i in range(values.shape[1])], axis=1
-        ).astype(np.float32)
-
+    adam = _Adam(setup.rate, setup.decay)
     for step in range(setup.window_steps + setup.document_steps):
         adam.step += 1
-        by_word = _means(vectors[bucket], begins).astype(np.float32)
-        by_window = _means(by_word[word], windows).astype(np.float32)
-        both = by_window @ softmax
-        logits = both[:, 1] - both[:, 0]
+        direction = softmax[:, 1] - softmax[:, 0]
+        each = np.append(vectors @ direction, 0.0)
+        by_word = np.add.reduceat(each[gram], begins) / grams_of
+        logits = np.add.reduceat(by_word[word], windows) / tokens_of
         if step < setup.window_steps:
             p = 1 / (1 + np.exp(-(logits + offset[0])))
-            error = balance[text_of_window] * (p - labels[text_of_window]) / len(windows)
+            error = balance[text_of] * (p - labels[text_of]) / len(windows)
             d_offset = error.sum()
         else:
             worst = _worst(logits, texts_at, setup)
-            p = 1 / (1 + np.exp(-(worst + offset[0])))
+            p = 1 / (1 + np.exp(-np.clip(worst + offset[0], -500, 500)))
             by_text = balance * (p - labels) / len(texts)
-            part = np.exp(setup.sharpness * (logits - worst[text_of_window]))
-            error = by_text[text_of_window] * part
+            error = by_text[text_of] * np.exp(setup.sharpness * (logits - worst[text_of]))
             d_offset = by_text.sum()
-        direction = softmax[:, 1] - softmax[:, 0]
-        d_direction = by_window.T @ error.astype(np.float32)
-        d_window = error.astype(np.float32)[:, None] * direction[None, :]
-        d_token = (d_window / tokens_of[:, None])[token_owner]
-        d_word = scatter(d_token, word, len(words)) / grams_of[:, None]
-        d_vectors = scatter(d_word[gram_owner], bucket, setup.buckets)
-        adam.update("vectors", vectors, d_vectors)
+        d_word = np.bincount(word, (error / tokens_of)[token_owner], len(words)) / grams_of
+        d_each = np.bincount(gram, d_word[gram_owner], len(kept) + 1)[:-1]
+        d_direction = vectors.T @ d_each
+        adam.update("vectors", vectors, np.outer(d_each, direction))
         adam.update("softmax", softmax, np.stack([-d_direction, d_direction], axis=1))
-        adam.update("offset", offset, np.array([d_offset], np.float32))
-    weights = vectors @ (softmax[:, 1] - softmax[:, 0])
+        adam.update("offset", offset, np.array([d_offset]))
+    weights = np.zeros(setup.buckets, np.float32)
+    weights[kept] = vectors @ (softmax[:, 1] - softmax[:, 0])
     return Toxicity(weights, float(offset[0]), share, setup)
 
 
