@@ -49,8 +49,9 @@ def _class_ranks(symbols: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]
     rank[order] = np.repeat(start, sizes)
     alone = np.empty(n, bool)
     alone[order] = np.repeat(sizes == 1, sizes)
-    pair = padded[:n] * base + padded[1 : n + 1]
-    levels, length = [(1, padded[:n]), (2, pair), (_FIRST_LENGTH, rank)], _FIRST_LENGTH
+    pair = (padded[:n] * base + padded[1 : n + 1]).astype(np.int32)
+    levels = [(1, padded[:n].astype(np.int32)), (2, pair), (_FIRST_LENGTH, rank.astype(np.int32))]
+    length = _FIRST_LENGTH
     active = np.flatnonzero(~alone)
     while length < depth:
         behind = active + length
@@ -64,10 +65,9 @@ def _class_ranks(symbols: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]
         new_key = np.concatenate(([True], key[1:] != key[:-1]))[: len(at)]
         begin_old = np.maximum.accumulate(np.where(new_old, place, 0))
         begin_key = np.maximum.accumulate(np.where(new_key, place, 0))
-        rank = rank.copy()
         rank[at] = old + begin_key - begin_old
         length *= 2
-        levels.append((length, rank))
+        levels.append((length, rank.astype(np.int32)))
         sizes = np.diff(np.concatenate((np.flatnonzero(new_key), [len(at)])))
         active = at[np.repeat(sizes > 1, sizes)]
     return levels
@@ -172,9 +172,9 @@ def repeated_spans(
     """`_row` (a row of docs) and `_spans`: where strings of `length` bytes to remove start."""
     first = F.struct(F.col(ID), F.col("start"))
 
-    def whole(head: Column, n: Column) -> Column:
+    def whole(head: Column, several: Column) -> Column:
         if keep == "none":
-            return n > 1
+            return several
         return first != F.struct(head[ID], head["start"])
 
     def elsewhere(earliest: Column, times: Column) -> Column:

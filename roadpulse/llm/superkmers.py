@@ -209,7 +209,7 @@ def _judged(packed: DataFrame, judge: Judge) -> DataFrame:
         held = 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held >= CHUNK and rows[-1].key != row[0]:
+                if (held >= CHUNK or len(rows) >= 1 << 14) and rows[-1].key != row[0]:
                     yield verdicts(rows)
                     rows, held = [], 0
                 rows.append(Packed(*row))
@@ -264,13 +264,12 @@ def covered(
 ) -> DataFrame:
     """`_doc`, `_sig`, `spans`: the window starts (start, count) to remove, by document.
 
-    `judge` marks windows of a bucket's classes; `whole(first, n)` tells whether an
-    occurrence (`_doc`, `start`) of a class with n occurrences goes as a whole, else the
-    class's marks hold; `elsewhere(earliest, times)` is the judge's rule for one window of
+    `judge` marks windows of a bucket's classes; `whole(first, several)` tells whether an
+    occurrence (`_doc`, `start`) of a class (with several occurrences or one) goes as a
+    whole, else the class's marks hold; `elsewhere(earliest, times)` is the judge's rule for one window of
     a class (`doc`, `at`)."""
     texts = text_of(docs)
     found = stage(occurrences(texts, windows))
-    # equal rows are one document: an occurrence counts once
     shared = (
         found.groupBy("key")
         .agg(
@@ -280,9 +279,12 @@ def covered(
         .filter("n > 1")
         .select("key", "mixed")
     )
-    found = stage(found.join(shared, "key").distinct())
+    found = stage(found.join(shared, "key"))
+    # equal rows are one document: what counts is whether there are different places
+    place = F.xxhash64(ID, SIG, "start")
     classes = found.groupBy("key", "digest", "mixed").agg(
-        F.count("*").alias("n"), F.min(F.struct(ID, SIG, "start", "count")).alias("first")
+        (F.min(place) != F.max(place)).alias("several"),
+        F.min(F.struct(ID, SIG, "start", "count")).alias("first"),
     )
     classes = stage(classes)
     crowded = (
@@ -302,11 +304,11 @@ def covered(
         _counted(packed.filter("big").drop("big"), windows, elsewhere)
     )
     rules = classes.join(marks, ["key", "digest"], "left").select(
-        "key", "digest", "n", "first", "spans"
+        "key", "digest", "several", "first", "spans"
     )
     one = F.array(F.struct(F.lit(0).alias("start"), F.col("count").alias("count")))
-    spans = F.when(whole(F.col("first"), F.col("n")), one).otherwise(F.col("spans"))
-    gone = found.join(rules.filter("n > 1 or spans is not null"), ["key", "digest"]).select(
+    spans = F.when(whole(F.col("first"), F.col("several")), one).otherwise(F.col("spans"))
+    gone = found.join(rules.filter("several or spans is not null"), ["key", "digest"]).select(
         ID, SIG, "start", F.explode(spans).alias("span")
     )
     return gone.groupBy(ID, SIG).agg(

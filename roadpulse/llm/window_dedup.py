@@ -64,7 +64,7 @@ def window_report(docs: DataFrame, size: int = 50, windows: Windows | None = Non
         docs,
         windows,
         _judge(size),
-        whole=lambda head, n: F.col(ID) > head[ID],
+        whole=lambda head, several: F.col(ID) > head[ID],
         elsewhere=lambda earliest, times: earliest["doc"] < F.col("doc"),
     )
 
