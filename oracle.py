@@ -85,7 +85,7 @@ PARTS: dict[str, str] = {
         SELECT event_id, vehicle_id, if(is_orphan_driver, 'UNKNOWN', driver_id) AS driver_id,
                if(is_orphan_trip, NULL, trip_id) AS trip_id, event_timestamp, latitude,
                longitude, speed_kmph, heading, gps_accuracy, ignition_status,
-               CAST(greatest(0, least(100, battery_level)) AS INTEGER) AS battery_level
+               CAST(least(greatest(battery_level, 0), 100) AS INTEGER) AS battery_level
         FROM judged WHERE verdict IS NULL""",
     "dq_log": """
         SELECT CAST(step_no AS INTEGER) AS step_no, 'clean' AS run_step, table_name,

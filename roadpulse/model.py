@@ -10,16 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from roadpulse.operators import (
     Timeline,
     foreign_key_violations,
-    hot_keys,
     number_rows,
-    open_timelines,
     primary_key_violations,
 )
 from roadpulse.plans import anomalies, dimensions, facts, quality, segments
-from roadpulse.session import Workspace, estimated_bytes
+from roadpulse.session import Workspace
 from roadpulse.settings import Settings
 from roadpulse.sources import RawTables, load_raw
 
+# Names of the delivered model's tables and keys.
 # Tables of the delivered model, dimensions before the facts that refer to them.
 MODEL_TABLES = [
     "dim_customer",
@@ -86,7 +85,8 @@ class Fleet:
 
     With ``staged=False`` every table is a pure plan over the raw inputs, good
     for asking one question. With ``staged=True`` the frames with several readers
-    are written once to the shared folder: the checked telemetry, the rollup and
+    are written once to the shared folder, each with the columns its readers need:
+    the checked telemetry, the ordered points, the rollup, the two summaries and
     the events. Call ``release()`` when the facts are written.
     """
 
@@ -110,13 +110,6 @@ class Fleet:
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         return self.workspace.cut(df, name) if self.staged else df
 
-    def _settled(self, timeline: Timeline) -> Timeline:
-        """A sliced timeline reads its frame twice per look-back step, so it is
-        written before the next step."""
-        if timeline.slice is None:
-            return timeline
-        return timeline.with_frame(self.workspace.cut(timeline.frame, "hot-ordered"))
-
     def release(self) -> None:
         """Delete the intermediate tables. Frames planned by this fleet end here;
         what it has written elsewhere stays."""
@@ -130,7 +123,15 @@ class Fleet:
 
     @cached_property
     def checked_telemetry(self) -> DataFrame:
-        return self._cut(quality.checked_telemetry(self.raw, self.settings), "checked")
+        return quality.checked_telemetry(self.raw, self.settings)
+
+    @cached_property
+    def _checks(self) -> DataFrame:
+        """What the log counts and the ordered points are made of."""
+        if not self.staged:
+            return self.checked_telemetry
+        columns = [*segments.POINT, *quality.COUNTED_FLAGS, "reject_reason"]
+        return self._cut(self.checked_telemetry.select(*columns), "checked")
 
     @cached_property
     def clean_telemetry(self) -> DataFrame:
@@ -138,27 +139,20 @@ class Fleet:
 
     @cached_property
     def quality_totals(self) -> DataFrame:
-        return quality.quality_totals(
-            self.raw.telemetry, self.checked_telemetry, self.settings
-        )
+        return quality.quality_totals(self.raw.telemetry, self._checks, self.settings)
 
     @cached_property
-    def ordered(self) -> list[Timeline]:
-        limit = self.settings.max_points_per_task
-        counted = self.checked_telemetry if self.staged else self.raw.telemetry
-        hot = None
-        if estimated_bytes(self.raw.telemetry) > self.settings.one_task_bytes:
-            hot = hot_keys(counted, "vehicle_id", limit, self.workspace)
-        timelines = open_timelines(
-            self.clean_telemetry, "vehicle_id", segments.ORDER, hot, limit, self.workspace
-        )
-        return [self._settled(segments.order_points(t)) for t in timelines]
+    def ordered(self) -> Timeline:
+        if not self.staged:
+            return segments.order_points(self.clean_telemetry)
+        points = quality.clean_telemetry(self._checks, segments.POINT)
+        timeline = segments.order_points(points)
+        return timeline.with_frame(self._cut(timeline.frame, "ordered"))
 
     @cached_property
     def tel_ordered(self) -> DataFrame:
         columns = [*self.clean_telemetry.columns, "seq", *segments.LOOK_BACK]
-        frames = [t.frame.select(*columns) for t in self.ordered]
-        return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+        return segments.order_points(self.clean_telemetry).frame.select(*columns)
 
     @cached_property
     def tel_pairs(self) -> DataFrame:
@@ -225,11 +219,13 @@ class Fleet:
 
     @cached_property
     def fact_daily_vehicle_summary(self) -> DataFrame:
-        return facts.daily_vehicle_summary(self.rollup, self.unkeyed_anomalies)
+        daily = facts.daily_vehicle_summary(self.rollup, self.unkeyed_anomalies)
+        return self._cut(daily, "daily")
 
     @cached_property
     def fact_trip_summary(self) -> DataFrame:
-        return facts.trip_summary(self.rollup, self.raw.trips, self.unkeyed_anomalies)
+        trips = facts.trip_summary(self.rollup, self.raw.trips, self.unkeyed_anomalies)
+        return self._cut(trips, "trips")
 
     @cached_property
     def dq_log(self) -> DataFrame:

@@ -1,18 +1,17 @@
 from roadpulse.operators.dedup import first_copies, mark_duplicates
 from roadpulse.operators.integrity import foreign_key_violations, primary_key_violations
 from roadpulse.operators.numbering import number_rows
-from roadpulse.operators.runs import mark_runs, runs
-from roadpulse.operators.timeline import Timeline, hot_keys, open_timelines
+from roadpulse.operators.runs import mark_runs
+from roadpulse.operators.timeline import SLICE, Timeline, open_timeline
 
 __all__ = [
+    "SLICE",
     "Timeline",
     "first_copies",
     "foreign_key_violations",
-    "hot_keys",
     "mark_duplicates",
     "mark_runs",
     "number_rows",
-    "open_timelines",
+    "open_timeline",
     "primary_key_violations",
-    "runs",
 ]

@@ -39,26 +39,50 @@ def foreign_key_violations(
     """Per edge (child, parent, column): child rows whose non-NULL value is missing
     in the parent.
 
-    Child rows are first counted per value, so the anti join moves one row per
-    distinct value and a hot value costs nothing.
+    One pass over each child counts its rows per key and value, so the anti join moves
+    one row per distinct value and a hot value costs nothing.
     """
+    children = list(dict.fromkeys(child for child, _, _ in edges))
 
-    def check(child: str, parent: str, column: str) -> DataFrame:
-        used = (
-            tables[child]
-            .filter(F.col(column).isNotNull())
-            .groupBy(column)
-            .agg(F.count("*").alias("_rows"))
-        )
-        return (
-            used.join(tables[parent].select(column), column, "left_anti")
-            .agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("orphan_rows"))
-            .select(
+    def used(child: str) -> DataFrame:
+        keys = [
+            F.struct(
                 F.lit(child).alias("child_table"),
                 F.lit(parent).alias("parent_table"),
                 F.lit(column).alias("key_column"),
-                "orphan_rows",
+                F.col(column).cast("string").alias("value"),
             )
+            for c, parent, column in edges
+            if c == child
+        ]
+        return (
+            tables[child]
+            .select(F.inline(F.array(*keys)))
+            .filter("value IS NOT NULL")
+            .groupBy("child_table", "parent_table", "key_column", "value")
+            .agg(F.count("*").alias("_rows"))
         )
 
-    return reduce(DataFrame.unionByName, [check(c, p, k) for c, p, k in edges])
+    parents = [
+        tables[parent].select(
+            F.lit(parent).alias("parent_table"),
+            F.lit(column).alias("key_column"),
+            F.col(column).cast("string").alias("value"),
+        )
+        for parent, column in dict.fromkeys((p, c) for _, p, c in edges)
+    ]
+    names = ["child_table", "parent_table", "key_column"]
+    every = reduce(DataFrame.unionByName, [used(c) for c in children])
+    known = reduce(DataFrame.unionByName, parents)
+    orphans = (
+        every.join(known, ["parent_table", "key_column", "value"], "left_anti")
+        .groupBy(*names)
+        .agg(F.sum("_rows").alias("_rows"))
+    )
+    rows = ", ".join(f"('{c}', '{p}', '{k}')" for c, p, k in edges)
+    asked = tables[children[0]].sparkSession.sql(
+        f"SELECT * FROM VALUES {rows} AS t({', '.join(names)})"
+    )
+    return asked.join(orphans, names, "left").select(
+        *names, F.coalesce("_rows", F.lit(0)).alias("orphan_rows")
+    )

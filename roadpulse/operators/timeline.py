@@ -1,33 +1,32 @@
 """Ordered points per key, with look-back columns that survive a hot key.
 
-A key whose points fit one task is ordered by one window. The points of a hot
-key (see ``hot_keys``) are cut into contiguous slices by a range shuffle on the
-full order; windows then run per (key, slice), and what the next slice needs
-from the ones before it is carried over by a small table with one row per slice.
-Every method states its columns the same way for both shapes.
+Points are cut into slices of time, so that a key with much of the data is ordered by
+many tasks. Windows run per (key, slice); what a slice needs from the ones before it is
+carried over by a small table with one row per slice. There is one shape for every key
+and every size.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.session import Workspace
+SLICE = "_slice"
 
 
 @dataclass(frozen=True)
 class Timeline:
+    """Rows with a key (not NULL), an order, and the slice of the order they lie in."""
+
     frame: DataFrame
     key: str
     order: tuple[str, ...]
-    slice: str | None = None
 
     @property
     def cell(self) -> list[str]:
-        return [self.key] if self.slice is None else [self.key, self.slice]
+        return [self.key, SLICE]
 
     def with_frame(self, frame: DataFrame) -> Timeline:
         return replace(self, frame=frame)
@@ -40,31 +39,24 @@ class Timeline:
     def _earlier_slices(self):
         return (
             Window.partitionBy(self.key)
-            .orderBy(self.slice)
+            .orderBy(SLICE)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
 
     def _carry(self, frame: DataFrame, per_slice: list[Column], carried: list[Column]):
         """Join onto each row what its slice receives from the earlier slices.
 
-        The broadcast table has one row per slice; their number is the partition
-        count of the range shuffle in ``open_timelines``.
+        The table has one row per key and slice and is not hinted: Spark broadcasts it
+        below its threshold, else the rows stay where they are and the table comes to
+        them, as they are partitioned by the cell already.
         """
         slices = frame.groupBy(*self.cell).agg(*per_slice)
-        return frame.join(F.broadcast(slices.select(*self.cell, *carried)), self.cell)
+        return frame.join(slices.select(*self.cell, *carried), self.cell)
 
     def numbered(self, name: str, previous: dict[str, str]) -> Timeline:
         """Add a 1-based position per key and, per entry of ``previous`` (new name
         -> column), that column's value at the point before."""
         window = self._in_order()
-        if self.slice is None:
-            return self.with_frame(
-                self.frame.select(
-                    "*",
-                    F.row_number().over(window).cast("bigint").alias(name),
-                    *[F.lag(c).over(window).alias(n) for n, c in previous.items()],
-                )
-            )
         columns = self.frame.columns
         values = F.struct(*[F.col(c).alias(n) for n, c in previous.items()])
         local = self.frame.select(
@@ -81,7 +73,7 @@ class Timeline:
             [
                 F.sum("_size").over(self._earlier_slices()).alias("_offset"),
                 F.lag("_tail")
-                .over(Window.partitionBy(self.key).orderBy(self.slice))
+                .over(Window.partitionBy(self.key).orderBy(SLICE))
                 .alias("_handed"),
             ],
         )
@@ -110,12 +102,6 @@ class Timeline:
     def with_latest(self, latest: dict[str, Column]) -> Timeline:
         """Add, per entry, the largest non-NULL value up to and including the row."""
         window = self._in_order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        if self.slice is None:
-            return self.with_frame(
-                self.frame.select(
-                    "*", *[F.max(c).over(window).alias(n) for n, c in latest.items()]
-                )
-            )
         columns = self.frame.columns
         local = self.frame.select(
             "*", *[F.max(c).over(window).alias(f"_{n}") for n, c in latest.items()]
@@ -135,42 +121,10 @@ class Timeline:
         )
 
 
-def hot_keys(df: DataFrame, key: str, limit: int, workspace: Workspace):
-    """Keys with more than ``limit`` rows, as (table, rows they hold), or None.
-
-    Reads one column and combines counts in the map tasks. At most
-    ``rows / limit`` keys can qualify, which bounds the returned table.
-    """
-    hot = df.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)
-    rows = hot.agg(F.sum("_rows")).first()[0]
-    if rows is None:
-        return None
-    return workspace.cut(hot.select(key), "hot-keys"), rows
-
-
-def open_timelines(
-    df: DataFrame,
-    key: str,
-    order: tuple[str, ...],
-    hot,
-    limit: int,
-    workspace: Workspace,
-) -> list[Timeline]:
-    """Split ``df`` into the timeline of ordinary keys and, if there are any, the
-    sliced timeline of hot keys. Together they hold every row once."""
-    if hot is None:
-        return [Timeline(df, key, order)]
-    keys, rows = hot
-    ordinary = df.join(F.broadcast(keys), key, "left_anti")
-    ranges = (
-        df.join(F.broadcast(keys), key, "left_semi")
-        .repartitionByRange(
-            max(2, ceil(4 * rows / limit)), key, *[F.col(c).asc_nulls_last() for c in order]
-        )
-        .withColumn("_slice", F.spark_partition_id())
-    )
-    return [
-        Timeline(ordinary, key, order),
-        # sampled range bounds are only fixed once the slices are written
-        Timeline(workspace.cut(ranges, "hot-points"), key, order, "_slice"),
-    ]
+def open_timeline(
+    df: DataFrame, key: str, order: tuple[str, ...], slice_of: Column
+) -> Timeline:
+    """The timeline of ``df``. ``slice_of`` must not fall along the order (such as the day
+    of a time); rows without one come last."""
+    placed = F.coalesce(slice_of.cast("string"), F.lit("~"))
+    return Timeline(df.withColumn(SLICE, placed), key, order)

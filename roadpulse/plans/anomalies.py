@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -167,16 +166,13 @@ def collapse(
 
 
 def detect(
-    timelines: list[Timeline],
+    timeline: Timeline,
     vehicles: DataFrame,
     settings: Settings,
     chosen: list[Detector] | None = None,
 ) -> DataFrame:
-    """Events of all vehicles; a vehicle lies in one timeline, so do its events."""
-    chosen = chosen or detectors(settings)
-    return reduce(
-        DataFrame.unionByName, [collapse(t, vehicles, settings, chosen) for t in timelines]
-    )
+    """Events of all vehicles."""
+    return collapse(timeline, vehicles, settings, chosen or detectors(settings))
 
 
 def overspeed_events(events: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +17,16 @@ from roadpulse.plans.segments import engine_was_on, segment_km, segment_seconds
 from roadpulse.settings import Settings
 
 
-def _rollup(timeline: Timeline, settings: Settings) -> DataFrame:
+def activity_rollup(timeline: Timeline, settings: Settings) -> DataFrame:
+    """Sums per vehicle, driver, trip, day of the point and day of its segment.
+
+    This is the only aggregation that reads event-sized data. All its buffers
+    have a fixed width, so it runs as a hash aggregate that combines in the map
+    tasks; its rows follow the changes of driver, trip and day, not the points.
+    Whatever the facts need beyond sums (the driver at a trip's first point,
+    distinct trips per day, the two different day attributions) is worked out
+    on its result.
+    """
     has_segment = F.col("prev_ts").isNotNull()
     same_trip = has_segment & (F.col("prev_trip") == F.col("trip_id"))
     stood = F.col("prev_speed") == 0
@@ -48,18 +55,6 @@ def _rollup(timeline: Timeline, settings: Settings) -> DataFrame:
     )
 
 
-def activity_rollup(timelines: list[Timeline], settings: Settings) -> DataFrame:
-    """Sums per vehicle, driver, trip, day of the point and day of its segment.
-
-    This is the only aggregation that reads event-sized data. All its buffers
-    have a fixed width, so it runs as a hash aggregate, combines in the map
-    tasks and leaves about one row per trip and day. Whatever the facts need
-    beyond sums (the driver at a trip's first point, distinct trips per day, the
-    two different day attributions) is worked out on its result.
-    """
-    return reduce(DataFrame.unionByName, [_rollup(t, settings) for t in timelines])
-
-
 def _mean_speed():
     return F.try_divide(F.sum("moving_speed_sum"), F.sum("moving_points"))
 

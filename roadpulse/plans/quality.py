@@ -12,6 +12,7 @@ from roadpulse.settings import UNKNOWN_DRIVER, Settings
 from roadpulse.sources import RawTables
 from roadpulse.sources.schemas import TELEMETRY
 
+# Names of the flags, reasons and checks.
 FLAGS = [
     "is_after_range",
     "is_duplicate",
@@ -41,6 +42,9 @@ SURVIVOR_CHECKS = [
     ("null_trip_id", "is_null_trip"),
 ]
 
+# Flags that the log counts on checked rows.
+COUNTED_FLAGS = [f for _, f in SURVIVOR_CHECKS]
+
 
 def row_flags(settings: Settings) -> dict[str, Column]:
     """Flags that need nothing but the row. A NULL reading is never ambiguous:
@@ -106,7 +110,7 @@ def checked_telemetry(raw: RawTables, settings: Settings) -> DataFrame:
     the row is accepted).
 
     Later copies are dropped before anything else is looked at: all that the log
-    needs about them is their number, and that follows from the totals.
+    needs about them is their number, which is counted on the raw ids and times.
     """
     firsts = first_copies(raw.telemetry, "event_id", "event_timestamp")
     flagged = _with_master_flags(firsts.withColumns(row_flags(settings)), raw)
@@ -119,7 +123,7 @@ def with_reject_reason(flagged: DataFrame) -> DataFrame:
     return flagged.withColumn("reject_reason", F.coalesce(*reasons))
 
 
-def clean_telemetry(checked: DataFrame) -> DataFrame:
+def clean_telemetry(checked: DataFrame, columns=TELEMETRY.names) -> DataFrame:
     """Accepted rows with repairs: unknown driver, trip set to NULL, battery
     clamped (a missing battery level becomes 0)."""
     repairs = {
@@ -130,7 +134,7 @@ def clean_telemetry(checked: DataFrame) -> DataFrame:
         "battery_level": F.least(F.greatest("battery_level", F.lit(0)), F.lit(100)),
     }
     return checked.filter(F.col("reject_reason").isNull()).select(
-        *[repairs.get(c, F.col(c)).alias(c) for c in TELEMETRY.names]
+        *[repairs.get(c, F.col(c)).alias(c) for c in columns]
     )
 
 
@@ -139,28 +143,33 @@ def quality_totals(
 ) -> DataFrame:
     """One row holding the count of every check.
 
-    Two aggregations that move one row per task: the raw side reads only the
-    timestamps. Duplicates are what is left of the in-range rows once the first
-    copies are counted.
+    Duplicates are counted on their own, from the ids and times of the raw rows
+    (combined per id in the map tasks): the copies of an id that are in range, less
+    the first one if it is. So rows that the checked telemetry loses show up as
+    unaccounted.
     """
     after = row_flags(settings)["is_after_range"]
-    raw_side = telemetry.agg(
-        F.count("*").alias("total_raw_rows"),
-        F.count_if(after).alias("out_of_range_date"),
+    moment = F.col("event_timestamp")
+    per_id = telemetry.groupBy("event_id").agg(
+        F.count("*").alias("n"),
+        F.count_if(after).alias("n_after"),
+        F.min(moment).alias("event_timestamp"),
+    )
+    # times in the sense of the flag: the first copy has the least known time
+    first_in_range = (~after).cast("int")
+    raw_side = per_id.agg(
+        F.sum("n").alias("total_raw_rows"),
+        F.sum("n_after").alias("out_of_range_date"),
+        F.sum(F.col("n") - F.col("n_after") - first_in_range).alias("duplicate_event_id"),
     )
     reason = F.col("reject_reason")
     first_side = checked.agg(
-        F.count_if(~F.col("is_after_range")).alias("_firsts_in_range"),
         *[F.count_if(reason == r).alias(r) for r, _ in REJECTIONS[2:]],
         *[F.count_if(reason.isNull() & F.col(f)).alias(c) for c, f in SURVIVOR_CHECKS],
         F.count_if(reason.isNull()).alias("rows_accepted"),
     )
     both = raw_side.unionByName(first_side, allowMissingColumns=True)
-    totals = both.agg(*[F.sum(c).alias(c) for c in both.columns])
-    return totals.withColumn(
-        "duplicate_event_id",
-        F.col("total_raw_rows") - F.col("out_of_range_date") - F.col("_firsts_in_range"),
-    ).drop("_firsts_in_range")
+    return both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in both.columns])
 
 
 def reject_reasons(totals: DataFrame) -> DataFrame:

@@ -6,11 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import date_key, elapsed_seconds
-from roadpulse.operators import Timeline
+from roadpulse.operators import Timeline, open_timeline
 from roadpulse.settings import Settings
 
 ORDER = ("event_timestamp", "event_id")
 
+# what the plans on ordered points read of a point
+POINT = (
+    "event_id",
+    "vehicle_id",
+    "driver_id",
+    "trip_id",
+    "event_timestamp",
+    "latitude",
+    "longitude",
+    "speed_kmph",
+    "ignition_status",
+)
+
 # new column -> column of the point before
 LOOK_BACK = {
     "prev_lat": "latitude",
@@ -22,8 +35,10 @@ LOOK_BACK = {
 }
 
 
-def order_points(points: Timeline) -> Timeline:
-    return points.numbered("seq", LOOK_BACK)
+def order_points(points: DataFrame) -> Timeline:
+    """Points in order per vehicle, in slices of a day; those without a time come last."""
+    timeline = open_timeline(points, "vehicle_id", ORDER, F.to_date("event_timestamp"))
+    return timeline.numbered("seq", LOOK_BACK)
 
 
 def segment_seconds(settings: Settings) -> Column:

@@ -21,13 +21,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; for file scans it comes from the file sizes,
-    so asking starts no job."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    return int(str(plan.stats().sizeInBytes()))
-
-
 @cache
 def _local_folder() -> tempfile.TemporaryDirectory:
     """Stand-in for the shared folder in local mode; removed at exit."""
@@ -57,10 +50,18 @@ class Workspace:
                     )
                 shared = _local_folder().name
             self._root = f"{shared.rstrip('/')}/roadpulse-{uuid.uuid4().hex}"
+            folder, files = self._folder()
+            files.deleteOnExit(folder)
         return self._root
 
+    def _folder(self):
+        """The root as a Hadoop path and its file system."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._root)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def cut(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` as a table of its own and return the scan of it."""
+        """Write ``df`` as a table of its own and return the scan of it. What is not
+        cleared before goes when the application ends."""
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
@@ -68,6 +69,6 @@ class Workspace:
     def clear(self) -> None:
         """Delete the tables written so far; frames that read them end here."""
         if self._root is not None:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self._root)
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+            folder, files = self._folder()
+            files.delete(folder, True)
             self._root = None

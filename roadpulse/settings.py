@@ -39,11 +39,6 @@ class Settings:
     overspeed_high_ratio: float = 1.2
     earth_radius_km: float = 6371.0
 
-    # a vehicle with more points than this is ordered in slices, by many tasks
-    max_points_per_task: int = 20_000_000
-    # telemetry up to this (estimated) size is not searched for such vehicles
-    one_task_bytes: int = 512 * 1024 * 1024
-
     @property
     def last_day(self) -> date:
         return (self.window_end - timedelta(days=1)).date()

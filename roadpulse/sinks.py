@@ -15,6 +15,8 @@ from roadpulse.model import MODEL_TABLES
 
 Star = Mapping[str, DataFrame]
 
+READ_OPTIONS = ("url", "driver", "user", "password")
+
 
 def _in_load_order(star: Star) -> list[tuple[str, DataFrame]]:
     return [(name, star[name]) for name in MODEL_TABLES if name in star] + [
@@ -93,7 +95,7 @@ class JdbcTarget:
 
     url: str
     user: str | None = None
-    password: str | None = None
+    password: str | None = field(default=None, repr=False)
     driver: str = "org.postgresql.Driver"
     schema: str | None = None
     connections: int = 16
@@ -126,7 +128,11 @@ class JdbcTarget:
         return df.write.format("jdbc").mode("overwrite").options(**self.options(name))
 
     def count(self, spark: SparkSession, name: str) -> int:
-        return spark.read.format("jdbc").options(**self.options(name)).load().count()
+        """Rows of a table, counted by the database."""
+        query = f"SELECT COUNT(*) AS n FROM {self.table(name)}"
+        options = {k: v for k, v in self.options(name).items() if k in READ_OPTIONS}
+        reader = spark.read.format("jdbc").options(**options | self.extra, query=query)
+        return int(reader.load().first()["n"])
 
 
 def publish(

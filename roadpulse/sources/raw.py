@@ -36,7 +36,23 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """The declared columns of a CSV file, bound by the names in its header.
+
+    Other columns are ignored. A declared column that is missing, a part file with another
+    header and a cell that does not parse raise an error.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [c for c in schema.names if c not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    declared = {f.name: f.dataType for f in schema.fields}
+    found = T.StructType(
+        [T.StructField(c, declared.get(c, T.StringType())) for c in header]
+    )
+    reader = spark.read.schema(found).option("header", True)
+    return reader.option("mode", "FAILFAST").option("enforceSchema", False).csv(path).select(
+        *schema.names
+    )
 
 
 def speed_limits(spark: SparkSession) -> DataFrame:

@@ -4,7 +4,8 @@ The texts below are plain SQL that Spark and DuckDB both run, so a query and its
 oracle start from identical rows. Every table is used whole. Defects are seeded
 on the telemetry side: ids with an ``X`` (vehicles, drivers, trips) are in no
 master, every 67th event is sent twice, some coordinates are zero, missing or
-out of bounds, some speeds are negative.
+out of bounds, some speeds are negative, and some ids, times, speeds and battery levels
+are missing.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from roadpulse.sources import schemas
 from roadpulse.sources.raw import RawTables, conform, speed_limits
 
 TELEMETRY_SQL = """
-SELECT CAST(event_id AS STRING) AS event_id,
+SELECT CASE WHEN event_id % 1999 <> 0 THEN CAST(event_id AS STRING) END AS event_id,
        CONCAT('VH_', CASE WHEN user_id % 13 = 12 THEN 'X' ELSE '' END,
               CAST(user_id % 13 AS STRING)) AS vehicle_id,
        CONCAT('DRV_', CASE WHEN user_id % 40 % 13 = 11 THEN 'X' ELSE '' END,
@@ -27,7 +28,7 @@ SELECT CAST(event_id AS STRING) AS event_id,
        CASE WHEN event_id % 7 = 0 THEN NULL
             ELSE CONCAT('TRIP_', CASE WHEN user_id % 10 = 7 THEN 'X' ELSE '' END,
                         CAST(user_id AS STRING)) END AS trip_id,
-       ts AS event_timestamp,
+       CASE WHEN event_id % 1511 <> 0 THEN ts END AS event_timestamp,
        CASE WHEN event_id % 199 = 0 THEN CAST(0 AS DOUBLE)
             WHEN event_id % 97 = 0 THEN CAST(30 AS DOUBLE)
             ELSE 12 + CAST(user_id % 13 AS DOUBLE) / 4
@@ -35,12 +36,13 @@ SELECT CAST(event_id AS STRING) AS event_id,
        CASE WHEN event_id % 211 = 0 THEN NULL
             ELSE 77 + CAST(event_id % 10 AS DOUBLE) / 1000 END AS longitude,
        CASE WHEN event_id % 503 = 0 THEN -value
+            WHEN event_id % 307 = 0 THEN NULL
             WHEN event_type = 'view' THEN CAST(0 AS DOUBLE)
             ELSE LEAST(value, CAST(120 AS DOUBLE)) END AS speed_kmph,
        CAST(event_id % 360 AS DOUBLE) AS heading,
        CAST(event_id % 15 AS DOUBLE) AS gps_accuracy,
        CASE WHEN event_type = 'error' THEN 'OFF' ELSE 'ON' END AS ignition_status,
-       CAST(event_id % 110 - 3 AS INT) AS battery_level
+       CASE WHEN event_id % 101 <> 0 THEN CAST(event_id % 110 - 3 AS INT) END AS battery_level
 FROM (SELECT event_id, ts, user_id, event_type, value FROM {events}
       UNION ALL
       SELECT event_id, ts + INTERVAL 1 SECOND AS ts, user_id, event_type, value

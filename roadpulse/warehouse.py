@@ -7,17 +7,22 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 
 from roadpulse.model import Fleet
-from roadpulse.sinks import load_warehouse, write_csv, write_parquet
+from roadpulse.sinks import load_warehouse, save_tables, write_csv, write_parquet
 
 
 def build_warehouse(
-    fleet: Fleet, out: str, csv: bool = True, by_day: bool = False
+    fleet: Fleet,
+    out: str,
+    csv: bool = True,
+    by_day: bool = False,
+    database: str | None = None,
 ) -> dict[str, DataFrame]:
     """Write all model tables as Parquet (and CSV) and return the written star.
 
     Needs a staged fleet. The rollup, the events, and the dimensions with the log
     are independent of each other and are computed side by side. The CSV export
-    reads the finished Parquet files, not the plans behind them.
+    reads the finished Parquet files, not the plans behind them, and so does the set of
+    catalog tables (with the list of speed limits) if a database is named.
     """
     if not fleet.staged:
         raise ValueError("open the fleet with staged=True to write its tables")
@@ -42,4 +47,6 @@ def build_warehouse(
     written = load_warehouse(fleet.spark, f"{out}/parquet", schemas)
     if csv:
         write_csv(written, f"{out}/csv")
+    if database is not None:
+        save_tables(written, database, fleet.raw.speed_limits)
     return written

@@ -1,63 +1,56 @@
-"""Slicing hot vehicles must not change a single value."""
+"""Slices, staging and joins without broadcasts must not change a single value."""
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from conftest import TESTDATA, rows
 from roadpulse import Fleet
+from roadpulse.operators import SLICE
+from roadpulse.plans import segments
 from roadpulse.sources import load_testbed
 from roadpulse.sources.testbed import TESTBED_SETTINGS
 
 
 @pytest.fixture(scope="module")
-def fleets(spark):
-    raw = load_testbed(spark, f"{TESTDATA}/sf0.001")
-    whole = Fleet(spark, raw, TESTBED_SETTINGS)
-    # a vehicle has about 70 points here: most are hot, cut into some 60 slices
-    tiny = replace(TESTBED_SETTINGS, max_points_per_task=66, one_task_bytes=0)
-    return whole, Fleet(spark, raw, tiny)
-
-
-def test_some_vehicles_are_hot_and_some_are_not(fleets):
-    whole, sliced = fleets
-    assert len(whole.ordered) == 1
-    ordinary, hot = sliced.ordered
-    assert ordinary.frame.count() > 0
-    slices = hot.frame.groupBy("vehicle_id").agg({"_slice": "count"}).count()
-    assert slices > 1
-    assert hot.frame.select("_slice").distinct().count() > slices
-
-
-@pytest.mark.parametrize(
-    "table",
-    ["tel_ordered", "fact_anomaly_events", "fact_daily_vehicle_summary", "fact_trip_summary"],
-)
-def test_tables_are_equal(fleets, table):
-    whole, sliced = (getattr(f, table) for f in fleets)
-    assert whole.columns == sliced.columns
-    assert rows(whole) == rows(sliced)
-
-
-def test_staging_changes_nothing(spark, fleets):
-    whole, _ = fleets
-    staged = Fleet(spark, whole.raw, TESTBED_SETTINGS, staged=True)
-    for table in ("dq_log", "fact_daily_vehicle_summary", "fact_anomaly_events"):
-        assert rows(getattr(whole, table)) == rows(getattr(staged, table))
+def fleet(spark):
+    return Fleet(spark, load_testbed(spark, f"{TESTDATA}/sf0.001"), TESTBED_SETTINGS)
+
+
+def test_sliced_points_equal_one_window_per_vehicle(fleet):
+    assert fleet.ordered.frame.select(SLICE).distinct().count() > 10
+    window = Window.partitionBy("vehicle_id").orderBy(
+        *[F.col(c).asc_nulls_last() for c in segments.ORDER]
+    )
+    plain = fleet.clean_telemetry.select(
+        "*",
+        F.row_number().over(window).cast("bigint").alias("seq"),
+        *[F.lag(c).over(window).alias(n) for n, c in segments.LOOK_BACK.items()],
+    )
+    assert rows(fleet.tel_ordered) == rows(plain)
+
+
+def test_staging_changes_nothing_and_leaves_nothing(spark, fleet):
+    staged = Fleet(spark, fleet.raw, TESTBED_SETTINGS, staged=True)
+    tables = ("dq_log", "fact_daily_vehicle_summary", "fact_trip_summary", "fact_anomaly_events")
+    for table in tables:
+        assert rows(getattr(fleet, table)) == rows(getattr(staged, table))
+    folder = staged.workspace.root
     staged.release()
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def test_masters_too_large_to_broadcast(spark, fleets):
-    """Without broadcasts the masters are sort-merged, to the same result."""
-    whole, _ = fleets
-    expected = rows(whole.fact_trip_summary)
+def test_masters_too_large_to_broadcast(spark, fleet):
+    """Without broadcasts the masters and the slices are sort-merged, to the same result."""
+    expected = rows(fleet.fact_trip_summary)
     names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     for name in names:
         spark.conf.set(name, "-1")
     try:
-        merged = Fleet(spark, whole.raw, TESTBED_SETTINGS).fact_trip_summary
+        merged = Fleet(spark, fleet.raw, TESTBED_SETTINGS).fact_trip_summary
         assert rows(merged) == expected
         assert "BroadcastHashJoin" not in merged._jdf.queryExecution().toString()
     finally:

@@ -8,6 +8,7 @@ import pytest
 
 from conftest import TESTDATA
 from roadpulse import Fleet
+from roadpulse.plans import facts, segments
 from roadpulse.sources import load_raw, load_testbed
 from roadpulse.sources.testbed import TESTBED_SETTINGS
 
@@ -29,13 +30,26 @@ def event_shuffles(text: str) -> set[str]:
     return set(re.findall(r"hashpartitioning\((event_id|vehicle_id|trip_id|driver_id)#", text))
 
 
-def test_events_move_twice_up_to_the_collapsed_runs(fleet):
-    text = plan(fleet.events())
-    assert event_shuffles(text) <= {"event_id", "vehicle_id"}
-    # one for the dedup, one for the ordering, one for the list of limits
-    assert text.count("hashpartitioning(event_id#") == 1
-    assert text.count("hashpartitioning(vehicle_id#") == 2
-    assert text.count("hashpartitioning(run#") == 0
+def test_staged_points_are_shuffled_once_by_event_and_once_by_slice(fleet):
+    """What is written before the ordering and the ordering itself."""
+    checked = plan(fleet.checked_telemetry)
+    assert event_shuffles(checked) == {"event_id"}
+    assert checked.count("hashpartitioning(event_id#") == 1
+    points = plan(segments.order_points(fleet.raw.telemetry).frame)
+    exchanges = re.findall(r"Exchange hashpartitioning\(vehicle_id#\d+, _slice#\d+", points)
+    reused = points.count("ReusedExchange")
+    # the rows, the same rows for the slices' sums, and the table of slices
+    assert 1 <= len(exchanges) - reused <= 3
+
+
+def test_readers_of_staged_points_do_not_order_them_again(spark, fleet):
+    staged = Fleet(spark, fleet.raw, TESTBED_SETTINGS, staged=True)
+    staged.ordered  # noqa: B018
+    rollup = plan(facts.activity_rollup(staged.ordered, staged.settings))
+    assert "Window" not in rollup and "hashpartitioning(event_id" not in rollup
+    events = plan(staged.events())
+    assert "hashpartitioning(event_id" not in events
+    staged.release()
 
 
 def test_duplicates_are_dropped_before_the_shuffle(fleet):
@@ -55,16 +69,13 @@ def test_no_python_and_no_single_task_window(fleet, table):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-def test_rollup_is_a_hash_aggregate_on_the_ordering_shuffle(fleet):
+def test_rollup_is_a_hash_aggregate(fleet):
     text = plan(fleet.rollup)
-    assert "HashAggregate(keys=[vehicle_id" in text and "SortAggregate" not in text
-    assert text.count("hashpartitioning(vehicle_id#") == 1
-    # distances need no coordinates
-    last_shuffle = text.split("Exchange hashpartitioning(vehicle_id")[1].split("Filter")[0]
-    assert "latitude" not in last_shuffle
+    assert re.search(r"HashAggregate\(keys=\[vehicle_id#\d+, driver_id", text)
+    assert not re.search(r"SortAggregate\(key=\[vehicle_id#\d+, driver_id", text)
 
 
-def test_raw_side_of_the_log_reads_timestamps_only(spark, tmp_path, make_fleet):
+def test_raw_side_of_the_log_reads_ids_and_times_only(spark, tmp_path, make_fleet):
     from conftest import point
     from roadpulse.plans import quality
     from roadpulse.sources import schemas
@@ -80,7 +91,7 @@ def test_raw_side_of_the_log_reads_timestamps_only(spark, tmp_path, make_fleet):
     raw = load_raw(spark, str(root))
     assert raw.telemetry.schema == schemas.TELEMETRY
     totals = plan(quality.quality_totals(raw.telemetry, fleet.checked_telemetry, fleet.settings))
-    assert "ReadSchema: struct<event_timestamp:timestamp_ntz>" in totals
+    assert "ReadSchema: struct<event_id:string,event_timestamp:timestamp_ntz>" in totals
     late = plan(raw.telemetry.filter("event_timestamp >= '2025-01-26'").select("event_id"))
     assert "GreaterThanOrEqual(event_timestamp" in late
     assert "ReadSchema: struct<event_id:string,event_timestamp:timestamp_ntz>" in late
