@@ -279,7 +279,8 @@ def covered(
         .filter("n > 1")
         .select("key", "mixed")
     )
-    found = stage(found.join(shared, "key"))
+    # the lists of keys are tables of their own, so that Spark can split a hot key's join
+    found = stage(found.join(stage(shared), "key"))
     # equal rows are one document: what counts is whether there are different places
     place = F.xxhash64(ID, SIG, "start")
     classes = found.groupBy("key", "digest", "mixed").agg(
@@ -303,12 +304,14 @@ def covered(
     marks = _judged(packed.filter("not big").drop("big"), judge).unionByName(
         _counted(packed.filter("big").drop("big"), windows, elsewhere)
     )
-    rules = classes.join(marks, ["key", "digest"], "left").select(
-        "key", "digest", "several", "first", "spans"
+    rules = stage(
+        classes.join(marks, ["key", "digest"], "left")
+        .filter("several or spans is not null")
+        .select("key", "digest", "several", "first", "spans")
     )
     one = F.array(F.struct(F.lit(0).alias("start"), F.col("count").alias("count")))
     spans = F.when(whole(F.col("first"), F.col("several")), one).otherwise(F.col("spans"))
-    gone = found.join(rules.filter("several or spans is not null"), ["key", "digest"]).select(
+    gone = found.join(rules, ["key", "digest"]).select(
         ID, SIG, "start", F.explode(spans).alias("span")
     )
     return gone.groupBy(ID, SIG).agg(
