@@ -445,6 +445,12 @@ def statements() -> dict[str, str]:
             FROM fact_anomaly_events JOIN dim_time USING (time_key)
                  JOIN dim_date USING (date_key)
             GROUP BY hour""",
+        "heatmap_filtered": f"""
+            SELECT hour, {_pivoted('day_name', DAY_NAMES)}
+            FROM fact_anomaly_events JOIN dim_time USING (time_key)
+                 JOIN dim_date USING (date_key)
+            WHERE severity = 'HIGH' AND anomaly_type = 'OVERSPEEDING'
+            GROUP BY hour""",
         "driver_scorecard": f"""
             SELECT driver_id, driver_name, total_trips, driver_distance_km, total_anomalies,
                    driver_anomalies, safety_score,
@@ -474,6 +480,15 @@ def statements() -> dict[str, str]:
                   UNION ALL
                   SELECT driver_id, date_key, NULL, anomaly_key FROM fact_anomaly_events) u
             GROUP BY driver_id, date_key""",
+        "driver_report_filtered": f"""
+            SELECT driver_id, date_key, {_r('ifnull(sum(km), 0)')} AS driver_distance_km,
+                   count(event) AS total_anomalies
+            FROM (SELECT driver_id, date_key, actual_distance_km AS km, NULL AS event
+                  FROM fact_trip_summary
+                  UNION ALL
+                  SELECT driver_id, date_key, NULL, anomaly_key FROM fact_anomaly_events) u
+            WHERE driver_id IN ('DRV_5', 'DRV_9')
+            GROUP BY driver_id, date_key""",
         "recent_anomalies": """
             SELECT driver_id, row_number() OVER latest AS recency, start_time, anomaly_type,
                    severity, metric_value, duration_secs
@@ -486,4 +501,11 @@ def statements() -> dict[str, str]:
             SELECT anomaly_type, severity, count(*) AS n FROM fact_anomaly_events
             GROUP BY anomaly_type, severity ORDER BY anomaly_type, severity""",
     }
+    # the same tables, through files
+    finals |= {
+        "raw_folder_trip_summary": "SELECT * FROM fact_trip_summary",
+        "csv_round_trip": "SELECT * FROM fact_trip_summary",
+        "parquet_by_day_round_trip": "SELECT * FROM fact_daily_vehicle_summary",
+        "delivered_row_counts": finals["table_row_counts"],
+    }
     return {name: ask(final) for name, final in finals.items()}
