@@ -54,7 +54,7 @@ class Shape:
     probes: int = 6
     bits: int = 10
     prior: float = 500.0  # k
-    segment_bytes: int = 64 << 20
+    segment_bytes: int = 8 << 20
     resident_bytes: int = 192 << 20
 
 
@@ -238,19 +238,20 @@ def _summed(counted: DataFrame, shards: int, shape: Shape) -> DataFrame:
     )
 
 
-def _segments(sections: DataFrame, size: str, most: int) -> Iterator[tuple[int, int]]:
-    """Runs of sections (first, last) of at most so many bytes together."""
-    first, last, held = None, None, 0
-    for number, n in sections.select("section", size).filter(f"{size} > 0").orderBy(
-        "section"
-    ).toLocalIterator():  # a number for each SHARD_TEXT bytes of text
-        if first is not None and held + n > most:
-            yield first, last
-            first, held = None, 0
-        first = number if first is None else first
-        last, held = number, held + n
-    if first is not None:
-        yield first, last
+def _segments(sections: DataFrame, column: str, most: int) -> Iterator[tuple[list, list]]:
+    """Numbers and bytes of the sections, in runs of at most so many bytes together; the
+    driver holds one run and one partition of the table."""
+    numbers, parts, held = [], [], 0
+    rows = sections.filter(f"n_{column} > 0").select("section", column).orderBy("section")
+    for number, part in rows.toLocalIterator():
+        if parts and held + len(part) > most:
+            yield numbers, parts
+            numbers, parts, held = [], [], 0
+        numbers.append(number)
+        parts.append(bytes(part))
+        held += len(part)
+    if parts:
+        yield numbers, parts
 
 
 def train(docs: DataFrame, shape: Shape | None = None) -> Model:
@@ -267,22 +268,17 @@ def train(docs: DataFrame, shape: Shape | None = None) -> Model:
     total = unigrams.agg(F.sum("tokens").alias("n"), F.sum("names").alias("v")).first()
 
     def broadcast(column: str, build) -> list[Broadcast]:
-        out = []
-        for first, last in _segments(table, f"n_{column}", shape.segment_bytes):
-            rows = table.filter(F.col("section").between(first, last)).filter(f"n_{column} > 0")
-            found = rows.select("section", column).orderBy("section").collect()
-            out.append(context.broadcast(build([r[0] for r in found], [r[1] for r in found])))
-        return out
+        return [context.broadcast(build(*x)) for x in _segments(table, column, shape.segment_bytes)]
 
     def exact(_, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        halves = [(p[: len(p) // 2], p[len(p) // 2 :]) for p in parts]
-        names = np.frombuffer(b"".join(bytes(a) for a, _ in halves), np.uint64)
-        return names, np.frombuffer(b"".join(bytes(b) for _, b in halves), np.int64)
+        names = b"".join(p[: len(p) // 2] for p in parts)
+        counts = b"".join(p[len(p) // 2 :] for p in parts)
+        return np.frombuffer(names, np.uint64), np.frombuffer(counts, np.int64)
 
     held = table.agg(F.sum(F.col("n_bits") + F.col("n_exact"))).first()[0] or 0
     return Model(
         broadcast("exact", exact),
-        broadcast("bits", lambda n, s: Sections(n, [bytes(x) for x in s])),
+        broadcast("bits", Sections),
         shards,
         total["n"] or 0,
         total["v"] or 0,
