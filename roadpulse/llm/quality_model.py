@@ -169,7 +169,7 @@ def score_quality(
     parts: int = 4,
     part: int = 2,
     threshold: float = 0.7,
-    shrinkage: float = 0.1,
+    shrinkage: float = 0.02,
     temperature: float = 4.0,
 ) -> DataFrame:
     """`doc_id`, `held_out`, `score`, `predicted` for each row of docs. Labels (`doc_id`,
