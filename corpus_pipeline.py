@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.llm.decontaminate import drop_contaminated
-from roadpulse.llm.frames import stage, table
+from roadpulse.llm.frames import discard, stage, table
 from roadpulse.llm.lpf_dedup import drop_repeats
 from roadpulse.llm.mixing import schedule
 from roadpulse.llm.quality_rules import drop_poor
@@ -55,7 +55,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, work in STAGES[:-1]:
+    docs, before = table(spark, sf_dir, "documents"), None
+    for _, work in STAGES[:-1]:
         docs = stage(work(spark, docs, sf_dir))
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -41,13 +41,28 @@ def _folder(spark: SparkSession) -> str:
 
 def stage(df: DataFrame) -> DataFrame:
     """Like cut() for larger frames: a Parquet table in the same folder, which is smaller
-    than a checkpoint and read by column. It goes when the application ends."""
+    than a checkpoint and read by column. It goes with discard() or when the application
+    ends."""
     spark = df.sparkSession
     where = f"{_folder(spark)}/table-{uuid.uuid4()}"
     df.write.parquet(where)
+    path, files = _located(spark, where)
+    files.deleteOnExit(path)
+    out = spark.read.schema(df.schema).parquet(where)
+    out.staged_at = where
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes staged tables that no frame will read again."""
+    for df in tables:
+        path, files = _located(df.sparkSession, df.staged_at)
+        files.delete(path, True)
+
+
+def _located(spark: SparkSession, where: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(where)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(where)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def text_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

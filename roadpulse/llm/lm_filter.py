@@ -33,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import stage, text_of
+from .frames import discard, stage, text_of
 from .superkmers import mixed_bits
 
 END = np.uint64(0x9AE16A3B2F90404F)
@@ -153,8 +153,13 @@ class Sections:
         sizes = np.array([len(s) for s in sections], np.int64)
         self.sizes, self.begins = sizes * 8, np.cumsum(sizes) - sizes
 
-    def levels(self, ids: np.ndarray, section: np.ndarray, probes: int) -> np.ndarray:
-        """The level of each id; 0 for those not in these sections."""
+    def read(self, ids: np.ndarray, section: np.ndarray, probes: int, out: np.ndarray) -> None:
+        """Sets the level of the ids in these sections. Ids are ordered by section, so
+        that they are one slice of them all."""
+        a, b = np.searchsorted(section, (self.numbers[0], self.numbers[-1] + 1))
+        out[a:b] += self._levels(ids[a:b], section[a:b], probes)
+
+    def _levels(self, ids: np.ndarray, section: np.ndarray, probes: int) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.numbers, section), len(self.numbers) - 1)
         out = np.zeros(len(ids), np.int64)
         open_ = np.flatnonzero(self.numbers[at] == section)
@@ -276,9 +281,11 @@ def train(docs: DataFrame, shape: Shape | None = None) -> Model:
         return np.frombuffer(names, np.uint64), np.frombuffer(counts, np.int64)
 
     held = table.agg(F.sum(F.col("n_bits") + F.col("n_exact"))).first()[0] or 0
+    vocabulary, sections = broadcast("exact", exact), broadcast("bits", Sections)
+    discard(table)
     return Model(
-        broadcast("exact", exact),
-        broadcast("bits", Sections),
+        vocabulary,
+        sections,
         shards,
         total["n"] or 0,
         total["v"] or 0,
@@ -305,16 +312,16 @@ def _scores(model: Model, texts: list[str]) -> list[tuple]:
     pair_names, pair_at = np.unique(pairs, return_inverse=True)
     exact = np.zeros(len(names), np.int64)
     for own, counts in _borrowed(model.vocabulary, model.resident):
-        if len(own):
-            place = np.minimum(np.searchsorted(own, names), len(own) - 1)
-            exact += np.where(own[place] == names, counts[place], 0)
+        a, b = np.searchsorted(names, own[0]), np.searchsorted(names, own[-1], "right")
+        place = np.searchsorted(own, names[a:b])
+        exact[a:b] += np.where(own[place] == names[a:b], counts[place], 0)
     level = np.zeros(len(names), np.int64)
     pair_level = np.zeros(len(pair_names), np.int64)
     section = _shard(names, 64, model.shards)
     pair_section = model.shards + _shard(pair_names, PAIR_BITS, model.shards)
     for sections in _borrowed(model.sections, model.resident):
-        level += sections.levels(names, section, shape.probes)
-        pair_level += sections.levels(pair_names, pair_section, shape.probes)
+        sections.read(names, section, shape.probes, level)
+        sections.read(pair_names, pair_section, shape.probes, pair_level)
     table = level_counts(shape.base)
     denominator = model.tokens + 0.5 * (model.words + 1)
     word, context = at[: len(ids)], at[len(ids) :]
@@ -350,7 +357,7 @@ def score_documents(
     model = train(rows.filter("not held_out"), shape)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for some, texts in _chunks(batches, CHUNK_TOKENS // 2):
+        for some, texts in _chunks(batches, CHUNK_TOKENS):
             ids, flags = zip(*some, strict=True)
             n, known, base, score = zip(*_scores(model, texts), strict=True)
             yield pa.RecordBatch.from_arrays(

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import ID, SIG, id_key, stage, text_of
+from .frames import ID, SIG, discard, id_key, stage, text_of
 
 #: Units hashed together; longer documents are cut into pieces that overlap by k - 1.
 CHUNK = 1 << 20
@@ -269,9 +269,10 @@ def covered(
     whole, else the class's marks hold; `elsewhere(earliest, times)` is the judge's rule for one window of
     a class (`doc`, `at`)."""
     texts = text_of(docs)
-    found = stage(occurrences(texts, windows))
-    shared = (
-        found.groupBy("key")
+    # the lists of keys are tables of their own, so that Spark can split a hot key's join
+    every = stage(occurrences(texts, windows))
+    shared = stage(
+        every.groupBy("key")
         .agg(
             F.count("*").alias("n"),
             (F.min("digest") != F.max("digest")).alias("mixed"),
@@ -279,8 +280,8 @@ def covered(
         .filter("n > 1")
         .select("key", "mixed")
     )
-    # the lists of keys are tables of their own, so that Spark can split a hot key's join
-    found = stage(found.join(stage(shared), "key"))
+    found = stage(every.join(shared, "key"))
+    discard(every, shared)
     # equal rows are one document: what counts is whether there are different places
     place = F.xxhash64(ID, SIG, "start")
     classes = found.groupBy("key", "digest", "mixed").agg(
@@ -309,6 +310,7 @@ def covered(
         .filter("several or spans is not null")
         .select("key", "digest", "several", "first", "spans")
     )
+    discard(classes, packed)
     one = F.array(F.struct(F.lit(0).alias("start"), F.col("count").alias("count")))
     spans = F.when(whole(F.col("first"), F.col("several")), one).otherwise(F.col("spans"))
     gone = found.join(rules, ["key", "digest"]).select(
