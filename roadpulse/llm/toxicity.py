@@ -45,8 +45,8 @@ class Setup:
     rate: float = 0.05
     decay: float = 0.1
     min_texts: int = 4
-    max_rows: int = 1500  # of each label
-    max_bytes: int = 48 << 20
+    max_rows: int = 1000  # of each label
+    max_bytes: int = 16 << 20
     seed: int = 11
 
 
@@ -55,7 +55,7 @@ def _bag(words: list[bytes], setup: Setup) -> tuple[np.ndarray, np.ndarray]:
     text = np.frombuffer(b"".join(b"<%b>" % w for w in words), np.uint8)
     sizes = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
     ends = np.repeat(np.cumsum(sizes), sizes)
-    owner = np.repeat(np.arange(len(words)), sizes)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
     units = BYTE_HASH[text]
     gram = units.copy()
     buckets, owners = [], []
@@ -63,7 +63,7 @@ def _bag(words: list[bytes], setup: Setup) -> tuple[np.ndarray, np.ndarray]:
         gram = gram[:-1] * np.uint64(0x9E3779B97F4A7C15) + units[n - 1 :]
         if n >= setup.shortest:
             at = np.flatnonzero(np.arange(len(gram)) + n <= ends[: len(gram)])
-            buckets.append((mixed_bits(gram[at]) % np.uint64(setup.buckets)).astype(np.int64))
+            buckets.append((mixed_bits(gram[at]) % np.uint64(setup.buckets)).astype(np.int32))
             owners.append(owner[at])
     bucket, owner = np.concatenate(buckets), np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
@@ -81,7 +81,7 @@ def _tokens(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         sizes.append(len(own))
     ids = np.fromiter(map(digest, tokens), np.uint64, len(tokens))
     _, first, word = np.unique(ids, return_index=True, return_inverse=True)
-    return [tokens[i] for i in first], word, np.array(sizes, np.int64)
+    return [tokens[i] for i in first], word.astype(np.int32), np.array(sizes, np.int64)
 
 
 def _windows(sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -148,18 +148,18 @@ class _Adam:
             value *= 1 - self.rate * self.decay
 
 
-def _frequent(bucket: np.ndarray, begins: np.ndarray, word: np.ndarray, sizes: np.ndarray,
-              setup: Setup) -> np.ndarray:
+def _frequent(
+    bucket: np.ndarray, begins: np.ndarray, word: np.ndarray, sizes: np.ndarray, setup: Setup
+) -> np.ndarray:
     """The buckets with n-grams in at least `min_texts` of the texts."""
-    text = np.repeat(np.arange(len(sizes)), sizes)
-    pairs = np.unique(text * len(begins) + word)  # (text, word)
-    grams = np.diff(np.append(begins, len(bucket)))
-    owner, text = pairs % len(begins), pairs // len(begins)
-    n = grams[owner]
-    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    own = bucket[np.repeat(begins[owner], n) + place]
-    seen = np.unique(np.repeat(text, n) * setup.buckets + own) % setup.buckets
-    return np.flatnonzero(np.bincount(seen, minlength=setup.buckets) >= setup.min_texts)
+    texts_with = np.zeros(setup.buckets, np.int32)
+    ends = np.append(begins[1:], len(bucket))
+    for own in np.split(word, np.cumsum(sizes)[:-1]):
+        own = np.unique(own)
+        n = ends[own] - begins[own]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        texts_with[np.unique(bucket[np.repeat(begins[own], n) + place])] += 1
+    return np.flatnonzero(texts_with >= setup.min_texts)
 
 
 def train(texts: list[str], labels: np.ndarray, share: float, setup: Setup) -> Toxicity:
@@ -174,12 +174,13 @@ def train(texts: list[str], labels: np.ndarray, share: float, setup: Setup) -> T
     kept = _frequent(bucket, begins, word, sizes, setup)
     grams_of = np.diff(np.append(begins, len(bucket)))
     tokens_of = np.diff(np.append(windows, len(word)))
-    gram_owner = np.repeat(np.arange(len(words)), grams_of)
-    token_owner = np.repeat(np.arange(len(windows)), tokens_of)
-    text_of = np.repeat(np.arange(len(texts)), np.diff(np.append(texts_at, len(windows))))
-    compact = np.full(setup.buckets, len(kept))  # the last one is for all that are rare
+    gram_owner = np.repeat(np.arange(len(words), dtype=np.int32), grams_of)
+    token_owner = np.repeat(np.arange(len(windows), dtype=np.int32), tokens_of)
+    text_of = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(np.append(texts_at, len(windows))))
+    compact = np.full(setup.buckets, len(kept), np.int32)  # the last one is for all that are rare
     compact[kept] = np.arange(len(kept))
     gram = compact[bucket]
+    del bucket
     vectors = rng.normal(0, 0.1, (len(kept), setup.dims))
     softmax = rng.normal(0, 0.3, (setup.dims, 2))
     offset = np.zeros(1)
