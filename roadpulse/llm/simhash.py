@@ -25,11 +25,11 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import ID, cut, id_key
+from .frames import ID, SIG, cut, id_key
 
 SEGMENTS = 32
 #: Two random segments have the same count with this probability: 1/16 + 1/4 + 1/16.
@@ -59,7 +59,9 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """`_doc` and `fp` (the fingerprint as a signed long) for each row."""
+    """`fp` (the fingerprint as a signed long) of each `text`, beside the other columns
+    (longs) of docs."""
+    keys = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,12 +70,10 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
             ]
             fp = np.array(marks, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(ID), pa.array(fp, pa.int64())], names=[ID, "fp"]
+                [*(batch.column(k) for k in keys), pa.array(fp, pa.int64())], names=[*keys, "fp"]
             )
 
-    return docs.select(id_key(F.col("doc_id")).alias(ID), "text").mapInArrow(
-        run, f"{ID} long, fp long"
-    )
+    return docs.mapInArrow(run, ", ".join(f"{c} long" for c in [*keys, "fp"]))
 
 
 def blocks_for(n: int, max_bits: int, partners: int = 20_000) -> int:
@@ -186,20 +186,26 @@ def fingerprint_links(
     )
 
 
-def simhash_groups(
-    docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int | None = None
-) -> DataFrame:
-    """`doc_id`, `fingerprint` (hexadecimal), `component_id` for each row of docs."""
-    marked = cut(fingerprints(docs, shingle))
-    distinct = cut(marked.groupBy("fp").agg(F.min(ID).alias("first")))
+def _owned(marked: DataFrame, first: Column, max_bits: int, blocks: int | None) -> DataFrame:
+    """`fp`, `first` (an aggregate of its rows), `root` for each different fingerprint; root
+    names the group."""
+    distinct = cut(marked.groupBy("fp").agg(first.alias("first")))
     if blocks is None:
         blocks = blocks_for(distinct.count(), max_bits)
     roots = cut(components(fingerprint_links(distinct, max_bits, blocks)))
-    owned = cut(
+    return cut(
         distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
             "fp", "first", F.coalesce("root", "fp").alias("root")
         )
     )
+
+
+def simhash_groups(
+    docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int | None = None
+) -> DataFrame:
+    """`doc_id`, `fingerprint` (hexadecimal), `component_id` for each row of docs."""
+    marked = cut(fingerprints(docs.select(id_key(F.col("doc_id")).alias(ID), "text"), shingle))
+    owned = _owned(marked, F.min(ID), max_bits, blocks)
     least = owned.groupBy("root").agg(F.min("first").alias("component"))
     of_mark = owned.join(least, "root").select("fp", "component")
     null_id = F.lit(-(2**63))
@@ -211,19 +217,11 @@ def simhash_groups(
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of docs whose document is the first of its group, one for each group."""
-    kept = (
-        simhash_groups(docs, shingle, max_bits)
-        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(id_key(F.col("doc_id")).alias("_kept"))
-        .distinct()
-    )
-    rows = docs.select(
-        F.struct(*[F.col(c) for c in docs.columns]).alias("_row"),
-        id_key(F.col("doc_id")).alias(ID),
-    )
-    return (
-        rows.join(kept, F.col(ID) == F.col("_kept"), "left_semi")
-        .dropDuplicates([ID])
-        .select("_row.*")
-    )
+    """One row of docs for each group: its smallest document by id, then by a hash of the
+    text. Different texts under one id, or without an id, are documents of their own."""
+    key = [id_key(F.col("doc_id")).alias(ID), F.xxhash64(F.coalesce("text", F.lit(""))).alias(SIG)]
+    marked = fingerprints(docs.select(*key, "text"), shingle)
+    owned = _owned(marked, F.min(F.struct(ID, SIG)), max_bits, None)
+    kept = owned.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), *key)
+    return rows.join(kept, [ID, SIG], "left_semi").dropDuplicates([ID, SIG]).select("_row.*")

@@ -130,3 +130,20 @@ def test_edge_cases(make_docs, prose):
     assert simhash_groups(docs.limit(0)).count() == 0 and drop_near_copies(docs.limit(0)).count() == 0
     clash = docs.withColumnsRenamed({"lang": "fp", "source": "_kept"}).drop("n_chars")
     assert drop_near_copies(clash).count() == 2
+
+
+def test_one_document_of_each_group_stays(make_docs, prose):
+    """Also where the first documents of several groups have no id, or the same one."""
+    a, b, c, d, e = (prose(i, 60) for i in range(20, 25))
+    rows = [(None, a), (None, b), (1, a), (2, b), (5, c), (5, d), (5, d), (6, c), (7, d), (8, e)]
+    kept = [(r.doc_id, r.text) for r in drop_near_copies(make_docs(rows)).collect()]
+    assert sorted(kept, key=str) == sorted([(None, a), (None, b), (5, c), (5, d), (8, e)], key=str)
+
+
+def test_the_row_that_stays_is_the_first_of_its_group(make_docs, prose):
+    """A text under the id of a group's first document that lies in another group with a
+    smaller id goes."""
+    a, b = prose(30, 60), prose(31, 60)
+    docs = make_docs([(1, a), (3, a), (3, b), (4, b)])
+    kept = [(r.doc_id, r.text) for r in drop_near_copies(docs).collect()]
+    assert sorted(kept) == [(1, a), (3, b)]
