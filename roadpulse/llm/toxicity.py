@@ -10,11 +10,13 @@ documents through the maximum. Misspelt and inflected words share n-grams with k
 As the model is linear behind the means, workers get one number for each n-gram bucket.
 
 The sample: at most `max_rows` documents of each label, first by a hash of the id, and of
-these whole texts of at most `max_bytes` together. Everything else covers all rows.
+these whole texts of at most `max_bytes` together, half of it for each label before one may
+use what the other leaves; a text that does not fit is passed over, equal rows count once.
+Everything else covers all rows.
 
 Defined results: null and empty texts score the (smoothed) share of toxic labels; a null
-doc_id hashes as the empty text and has no label; without rows of both labels every score
-is that share; equal rows score alike; extra columns do not matter.
+doc_id hashes as the empty text and has no label; without rows of both labels in the
+sample every score is that share; equal rows score alike; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import ID, cut, id_key
+from .frames import ID, SIG, cut, id_key
 from .superkmers import BYTE_HASH, mixed_bits
 
 
@@ -213,6 +215,26 @@ def train(texts: list[str], labels: np.ndarray, share: float, setup: Setup) -> T
     return Toxicity(weights, float(offset[0]), share, setup)
 
 
+def within_budget(rows: list[tuple[int, int, int, int]], max_bytes: int) -> list[tuple[int, int, int]]:
+    """Of rows (id, text hash, label, bytes) those to train on, in the order of a hash of the
+    id: each label fills its share of the budget, then what is left goes to either. A text
+    that does not fit is passed over and the next one tried."""
+    rows = sorted(rows, key=lambda r: (xxhash.xxh64_intdigest(str(r[0])), r))
+    left, taken = max_bytes, set()
+    for label in (0, 1):
+        share = max_bytes // 2
+        for row in rows:
+            if row[2] == label and row[3] <= share:
+                share -= row[3]
+                left -= row[3]
+                taken.add(row)
+    for row in rows:
+        if row not in taken and row[3] <= left:
+            left -= row[3]
+            taken.add(row)
+    return [row[:3] for row in rows if row in taken]
+
+
 def fit(docs: DataFrame, labelled: DataFrame, setup: Setup) -> Toxicity:
     """docs: `_doc`, `text`; labelled: `_doc`, `label`."""
     counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -224,14 +246,12 @@ def fit(docs: DataFrame, labelled: DataFrame, setup: Setup) -> Toxicity:
         )
     )  # at most 2 max_rows of two numbers
     found = docs.join(F.broadcast(chosen), ID).filter(F.octet_length("text") > 0)
-    sizes = found.select(ID, "label", F.octet_length("text").alias("n")).collect()
-    held, ids = 0, set()
-    for row in sorted(sizes, key=lambda r: xxhash.xxh64_intdigest(str(r[ID]))):
-        held += row["n"]
-        if held <= setup.max_bytes:
-            ids.add(row[ID])
-    rows = [r for r in found.select(ID, "label", "text").filter(F.col(ID).isin(list(ids))).collect()] \
-        if 0 < len(ids) < len({r[ID] for r in sizes}) else found.select(ID, "label", "text").collect()
+    found = found.withColumn(SIG, F.xxhash64("text")).dropDuplicates([ID, SIG, "label"])
+    sizes = found.select(ID, SIG, "label", F.octet_length("text").alias("n")).collect()
+    picked = within_budget([tuple(r) for r in sizes], setup.max_bytes)
+    wanted = docs.sparkSession.createDataFrame(picked, f"{ID} long, {SIG} long, label int")
+    rows = found.join(F.broadcast(wanted), [ID, SIG, "label"]).select(ID, SIG, "label", "text").collect()
+    rows.sort(key=lambda r: (r[ID], r[SIG], r["label"]))
     rows = [r for r in rows if r["text"].split()]
     labels = np.array([r["label"] for r in rows], np.float64)
     if not len(labels) or labels.min() == labels.max():

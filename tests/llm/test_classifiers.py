@@ -6,9 +6,10 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+import xxhash
 
 from roadpulse.llm.quality_model import STATISTICS, Discriminant, fit, score_quality, statistics
-from roadpulse.llm.toxicity import Setup, _bag, _windows, score_toxicity, train
+from roadpulse.llm.toxicity import Setup, _bag, _windows, score_toxicity, train, within_budget
 
 SF = "/root/testdata/sf0.01"
 
@@ -126,3 +127,34 @@ def test_edge_cases(make_docs, spark):
         clash = docs.withColumnsRenamed({"lang": "quality", "source": "label", "n_chars": "toxic"})
         assert run(clash, some).count() == 5
     assert isinstance(fit(spark.createDataFrame([], "label int, x array<double>"), 0.1, 1.0), Discriminant)
+
+
+def test_texts_over_the_budget_are_passed_over(make_docs, spark, prose):
+    """One of the first labelled texts is over the budget on its own; then all of them are."""
+    ids = sorted(
+        (i for i in range(400) if crc32(str(i).encode()) % 3 != 1),
+        key=lambda i: xxhash.xxh64_intdigest(str(i)),
+    )
+    texts = {i: prose(i, 60) + (" nastyword nastyword" if n % 2 else "") for n, i in enumerate(ids)}
+    setup = Setup(buckets=1 << 14, max_bytes=1 << 17)
+    texts[ids[1]] = prose(1, 60) + " " + "long " * 30_000
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    new = [(1000 + i, prose(1000 + i, 60) + " nastyword nastyword" * (i % 2)) for i in range(20)]
+    docs = make_docs([*texts.items(), *new])
+    got = {r.doc_id: r.predicted for r in score_toxicity(docs, labels, setup=setup).collect()}
+    assert [got[i] for i, _ in new] == [i % 2 for i in range(20)]
+    none = score_toxicity(docs, labels, setup=Setup(buckets=1 << 14, max_bytes=100))
+    assert none.select("score").distinct().count() == 1
+
+
+def test_budget_of_the_sample():
+    small = [(i, 0, i % 2, 10) for i in range(10)]
+    assert sorted(r[0] for r in within_budget(small, 100)) == list(range(10))
+    long = [(i, 0, 0, 1000) for i in range(10, 30)]
+    assert sorted(r[0] for r in within_budget([*small, *long], 100)) == list(range(10))
+    heavy = [(i, 0, 0, 40) for i in range(30, 90)]
+    some = within_budget([*heavy, *((i, 0, 1, 10) for i in range(10))], 200)
+    assert sum(r[2] for r in some) == 10 and sum(1 - r[2] for r in some) == 2
+    assert within_budget(long, 100) == []
+    uneven = [(0, 0, 1, 10), *((i, 0, 0, 30) for i in range(1, 4))]
+    assert len(within_budget(uneven, 100)) == 4
