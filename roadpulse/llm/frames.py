@@ -66,9 +66,9 @@ def _located(spark: SparkSession, where: str):
 
 
 def text_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`_doc`, `_sig`, `text`: one row per different (id, text). A null id counts as the
-    smallest id and a null text as the empty one. `_sig` tells different texts under one
-    id apart; equal rows are one document."""
+    """`_doc`, `_sig`, `text` for each row. A null id counts as the smallest id and a null
+    text as the empty one. `_sig` tells different texts under one id apart; equal rows are
+    one document but come as often as they are, so readers combine them by both."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return df.select(id_key(F.col(id_col)).alias(ID), F.xxhash64(text).alias(SIG), text.alias("text"))
 

@@ -177,7 +177,9 @@ def _slices(texts: DataFrame, wanted: DataFrame, windows: Windows) -> DataFrame:
     spans = wanted.groupBy(ID, SIG).agg(
         F.collect_list(F.struct("start", "count", "key", "digest", "big")).alias("spans")
     )
-    return texts.join(spans, [ID, SIG]).select(ID, "text", "spans").mapInArrow(
+    # equal rows are one document: each class is packed once, or it would be its own copy
+    once = texts.join(spans, [ID, SIG]).dropDuplicates([ID, SIG])
+    return once.select(ID, "text", "spans").mapInArrow(
         run, "key long, digest long, doc long, start int, count int, packed binary, big boolean"
     )
 

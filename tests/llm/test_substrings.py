@@ -154,3 +154,20 @@ def test_edge_cases(make_docs, spark, prose):
     assert removal_report(empty, 60).count() == 0 and window_report(empty, 20).count() == 0
     clash = docs.withColumnsRenamed({"lang": "_doc", "source": "key"})
     assert drop_repeats(clash.withColumn("spans", clash["key"]), 60).count() == 5
+
+
+@pytest.mark.parametrize("bucket_rows", [8192, 0])
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_equal_rows_are_one_document(make_docs, prose, keep, bucket_rows):
+    """Beside a document that shares a phrase, so that buckets have several classes."""
+    phrase = prose(40, 30)
+    rows = [(1, f"{prose(41, 30)} {phrase} {prose(42, 30)}"), (2, f"{prose(43, 30)} {phrase} {prose(44, 9)}")]
+    windows = Windows(byte_units, 60, 16, 0, bucket_rows=bucket_rows)
+    spans = repeated_spans(make_docs([rows[0], *rows]), 60, keep, windows)
+    want = {d: r[1] for d, r in brute_bytes(rows, 60, keep).items()}
+    texts = dict(rows)
+    got = [
+        (r.doc_id, int(unit_mask(r._spans, len(texts[r.doc_id]), 60).sum()))
+        for r in spans.select("_row.doc_id", "_spans").collect()
+    ]
+    assert sorted(got) == sorted([(1, want[1]), *want.items()]) and want[2] >= 60
