@@ -5,7 +5,7 @@ meet by super-k-mers (see superkmers.py); in each set of buckets the packed stri
 joined with separators, their suffixes are sorted by prefix doubling, and for each suffix
 the previous and the next one in suffix order with a smaller text position are its two
 candidates for the longest earlier match. A suffix whose earlier match has `length` bytes
-is a copy. With keep="first" copies go and the first occurrence (smallest doc_id, then
+is a copy. With keep="first" copies go and the first occurrence (smallest doc_id, text hash,
 position) stays; with keep="none" the earlier matches go too.
 
 Defined results: null and empty texts have no bytes and nothing to remove; a null doc_id
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import ID
+from .frames import ID, SIG
 from .superkmers import Packed, Windows, byte_units, covered, ranges, unit_mask, with_spans
 
 #: Symbols of the first sort, which is then doubled.
@@ -170,17 +170,17 @@ def repeated_spans(
     docs: DataFrame, length: int = 400, keep: str = "first", windows: Windows | None = None
 ) -> DataFrame:
     """`_row` (a row of docs) and `_spans`: where strings of `length` bytes to remove start."""
-    first = F.struct(F.col(ID), F.col("start"))
+    place = F.struct(F.col(ID), F.col(SIG), F.col("start"))
 
     def whole(head: Column, several: Column) -> Column:
         if keep == "none":
             return several
-        return first != F.struct(head[ID], head["start"])
+        return place != F.struct(head[ID], head[SIG], head["start"])
 
     def elsewhere(earliest: Column, times: Column) -> Column:
         if keep == "none":
             return times > 1
-        return F.struct("doc", "at") != earliest
+        return F.struct("doc", "sig", "at") != earliest
 
     windows = windows or _windows(length)
     spans = covered(docs, windows, _judge(length, keep), whole, elsewhere)

@@ -7,7 +7,7 @@ in the bucket of that key.
 
 1. `occurrences`: the super-k-mers of all documents, without their text.
 2. Only keys that occur twice go on. Super-k-mers with equal text form a class, known by
-   its digest; its first occurrence (smallest document, then position) stands for it, so
+   its digest; its first occurrence (smallest document, text hash, position) stands for it, so
    that copies are combined in the map tasks and never meet as rows.
 3. Only buckets with different classes need text: one packed string for each class travels
    to its bucket, where a `judge` marks the windows that occur elsewhere.
@@ -110,6 +110,7 @@ class Packed:
     key: int
     digest: int
     doc: int
+    sig: int
     start: int
     count: int
     text: bytes
@@ -156,22 +157,19 @@ def _slices(texts: DataFrame, wanted: DataFrame, windows: Windows) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text, spans in zip(
-                batch.column(ID).to_pylist(), batch.column("text").to_pylist(),
-                batch.column("spans").to_pylist(), strict=True,
-            ):
+            for doc, sig, text, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 packed, places, _ = windows.units(text.encode())
                 for s in spans:
                     a = places[s["start"]]
                     b = places[s["start"] + s["count"] + windows.k - 1] - windows.gap
                     rows.append(
-                        (s["key"], s["digest"], doc, s["start"], s["count"], packed[a:b], s["big"])
+                        (s["key"], s["digest"], doc, sig, s["start"], s["count"], packed[a:b], s["big"])
                     )
-            columns = zip(*rows, strict=True) if rows else [()] * 7
-            kinds = ["int64"] * 3 + ["int32"] * 2 + ["binary", "bool"]
+            columns = zip(*rows, strict=True) if rows else [()] * 8
+            kinds = ["int64"] * 4 + ["int32"] * 2 + ["binary", "bool"]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.type_for_alias(k)) for c, k in zip(columns, kinds, strict=True)],
-                names=["key", "digest", "doc", "start", "count", "packed", "big"],
+                names=["key", "digest", "doc", "sig", "start", "count", "packed", "big"],
             )
 
     spans = wanted.groupBy(ID, SIG).agg(
@@ -179,8 +177,8 @@ def _slices(texts: DataFrame, wanted: DataFrame, windows: Windows) -> DataFrame:
     )
     # equal rows are one document: each class is packed once, or it would be its own copy
     once = texts.join(spans, [ID, SIG]).dropDuplicates([ID, SIG])
-    return once.select(ID, "text", "spans").mapInArrow(
-        run, "key long, digest long, doc long, start int, count int, packed binary, big boolean"
+    return once.select(ID, SIG, "text", "spans").mapInArrow(
+        run, "key long, digest long, doc long, sig long, start int, count int, packed binary, big boolean"
     )
 
 
@@ -215,13 +213,13 @@ def _judged(packed: DataFrame, judge: Judge) -> DataFrame:
                     yield verdicts(rows)
                     rows, held = [], 0
                 rows.append(Packed(*row))
-                held += len(row[5])
+                held += len(row[6])
         if rows:
             yield verdicts(rows)
 
     return (
         packed.repartition("key")
-        .sortWithinPartitions("key", "doc", "start")
+        .sortWithinPartitions("key", "doc", "sig", "start")
         .mapInArrow(run, f"key long, digest long, spans array<{_SPAN}>")
     )
 
@@ -232,25 +230,25 @@ def _counted(packed: DataFrame, windows: Windows, elsewhere: Callable) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for key, digest, doc, start, count, text in zip(
+            for key, digest, doc, sig, start, count, text in zip(
                 *(c.to_pylist() for c in batch.columns), strict=True
             ):
                 places = windows.units(text)[1]
                 for i in range(count):
                     window = text[places[i] : places[i + windows.k] - windows.gap]
-                    rows.append((xxhash.xxh3_128_digest(window), key, digest, doc, start + i, i))
-            columns = zip(*rows, strict=True) if rows else [()] * 6
-            kinds = ["binary", "int64", "int64", "int64", "int32", "int32"]
+                    rows.append((xxhash.xxh3_128_digest(window), key, digest, doc, sig, start + i, i))
+            columns = zip(*rows, strict=True) if rows else [()] * 7
+            kinds = ["binary", "int64", "int64", "int64", "int64", "int32", "int32"]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.type_for_alias(k)) for c, k in zip(columns, kinds, strict=True)],
-                names=["window", "key", "digest", "doc", "at", "i"],
+                names=["window", "key", "digest", "doc", "sig", "at", "i"],
             )
 
     each = packed.mapInArrow(
-        run, "window binary, key long, digest long, doc long, at int, i int"
+        run, "window binary, key long, digest long, doc long, sig long, at int, i int"
     )
     known = each.groupBy("window").agg(
-        F.count("*").alias("times"), F.min(F.struct("doc", "at")).alias("earliest")
+        F.count("*").alias("times"), F.min(F.struct("doc", "sig", "at")).alias("earliest")
     )
     marked = each.join(known, "window").filter(elsewhere(F.col("earliest"), F.col("times")))
     one = F.struct(F.col("i").alias("start"), F.lit(1).alias("count"))
@@ -267,9 +265,9 @@ def covered(
     """`_doc`, `_sig`, `spans`: the window starts (start, count) to remove, by document.
 
     `judge` marks windows of a bucket's classes; `whole(first, several)` tells whether an
-    occurrence (`_doc`, `start`) of a class (with several occurrences or one) goes as a
+    occurrence (`_doc`, `_sig`, `start`) of a class (with several occurrences or one) goes as a
     whole, else the class's marks hold; `elsewhere(earliest, times)` is the judge's rule for one window of
-    a class (`doc`, `at`)."""
+    a class (`doc`, `sig`, `at`)."""
     texts = text_of(docs)
     # the lists of keys are tables of their own, so that Spark can split a hot key's join
     every = stage(occurrences(texts, windows))

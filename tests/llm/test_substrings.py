@@ -171,3 +171,18 @@ def test_equal_rows_are_one_document(make_docs, prose, keep, bucket_rows):
         for r in spans.select("_row.doc_id", "_spans").collect()
     ]
     assert sorted(got) == sorted([(1, want[1]), *want.items()]) and want[2] >= 60
+
+
+@pytest.mark.parametrize("bucket_rows", [8192, 0])
+def test_texts_under_one_id_are_copies_of_each_other(make_docs, prose, bucket_rows):
+    """The copy is at the same place in both texts; the phrase of a third one makes buckets
+    with several classes."""
+    start = prose(50, 40)
+    docs = make_docs([(i, f"{start} {prose(51 + n, 30)}") for n, i in enumerate((None, None, 5, 5))]
+                     + [(9, prose(60, 5) + start[30:])])
+    windows = Windows(byte_units, 60, 16, 0, bucket_rows=bucket_rows)
+    rows = repeated_spans(docs, 60, "first", windows).select("_row.doc_id", "_row.text", "_spans").collect()
+    gone = [(r.doc_id, int(unit_mask(r._spans, len(r.text), 60).sum())) for r in rows]
+    assert sorted(n >= len(start) for d, n in gone if d is None) == [False, True]
+    assert sorted(n for d, n in gone if d is None)[0] == 0
+    assert all(n >= len(start) for d, n in gone if d == 5)
