@@ -158,3 +158,7 @@ def test_budget_of_the_sample():
     assert within_budget(long, 100) == []
     uneven = [(0, 0, 1, 10), *((i, 0, 0, 30) for i in range(1, 4))]
     assert len(within_budget(uneven, 100)) == 4
+
+
+def test_the_sample_is_not_cut():
+    assert (Setup().max_rows, Setup().max_bytes) == (1500, 48 << 20)
