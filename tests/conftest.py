@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import sys
-from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -9,12 +8,10 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from fleet_points import START  # noqa: E402
 from roadpulse import Fleet, RawTables, Settings  # noqa: E402
 from roadpulse.sources import schemas, speed_limits  # noqa: E402
 
-TESTDATA = "/root/testdata"
-START = datetime(2025, 1, 20, 8, 0, 0)
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -37,31 +34,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def at(seconds: float | None) -> datetime | None:
-    return None if seconds is None else START + timedelta(seconds=seconds)
-
-
-def point(event_id, seconds, **changes) -> dict:
-    """One valid telemetry row, ``seconds`` after the start of the test day."""
-    row = {
-        "event_id": event_id,
-        "vehicle_id": "V1",
-        "driver_id": "D1",
-        "trip_id": "T1",
-        "event_timestamp": at(seconds),
-        "latitude": 20.0,
-        "longitude": 77.0,
-        "speed_kmph": 30.0,
-        "heading": 0.0,
-        "gps_accuracy": 1.0,
-        "ignition_status": "ON",
-        "battery_level": 50,
-    }
-    unknown = changes.keys() - row.keys()
-    assert not unknown, unknown
-    return row | changes
-
-
 @pytest.fixture(scope="session")
 def make_fleet(spark):
     """Build a fleet from hand-written points. V1..V4 are BIKE, 3W, LCV, HCV and V5
@@ -98,9 +70,3 @@ def make_fleet(spark):
         return Fleet(spark, raw, settings, **options)
 
     return build
-
-
-def rows(df, *columns) -> list[tuple]:
-    """All rows as tuples, in a stable order."""
-    picked = df.select(*columns) if columns else df.select(*sorted(df.columns))
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

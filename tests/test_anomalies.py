@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import START, at, point, rows
+from fleet_points import START, at, point, rows
 from roadpulse.operators import SLICE, mark_runs
 
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import at, point, rows
+from fleet_points import at, point, rows
 
 MIDNIGHT = 16 * 3600  # seconds from the test start to 2025-01-21 00:00
 

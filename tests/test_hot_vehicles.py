@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import TESTDATA, rows
+from fleet_points import TESTDATA, rows
 from roadpulse import Fleet
 from roadpulse.operators import SLICE
 from roadpulse.plans import segments

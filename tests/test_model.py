@@ -8,7 +8,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import START, TESTDATA, at, point, rows
+from fleet_points import START, TESTDATA, at, point, rows
 from roadpulse import Fleet
 from roadpulse.model import FOREIGN_KEYS, MODEL_TABLES, PRIMARY_KEYS
 from roadpulse.operators import foreign_key_violations, number_rows, primary_key_violations

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
-from conftest import TESTDATA
+from fleet_points import TESTDATA
 
 SF_DIR = f"{TESTDATA}/sf0.01"
 TABLES = (

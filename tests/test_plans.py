@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from conftest import TESTDATA
+from fleet_points import TESTDATA
 from roadpulse import Fleet
 from roadpulse.plans import facts, segments
 from roadpulse.sources import load_raw, load_testbed
@@ -76,7 +76,7 @@ def test_rollup_is_a_hash_aggregate(fleet):
 
 
 def test_raw_side_of_the_log_reads_ids_and_times_only(spark, tmp_path, make_fleet):
-    from conftest import point
+    from fleet_points import point
     from roadpulse.plans import quality
     from roadpulse.sources import schemas
 

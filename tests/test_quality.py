@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, point, rows
+from fleet_points import at, point, rows
 from roadpulse.operators import first_copies, mark_duplicates
 from roadpulse.plans import quality
 from roadpulse.settings import Settings

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import point, rows
+from fleet_points import point, rows
 from roadpulse.plans import quality
 from roadpulse.sources import schemas
 from roadpulse.sources.raw import read_csv
