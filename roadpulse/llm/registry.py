@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import sql
 from .decontaminate import contamination
 from .frames import table
+from .license_rules import license_report
 from .lpf_dedup import removal_report
 from .lm_filter import score_documents
 from .mixing import Target, schedule
@@ -72,6 +73,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_report(table(spark, sf_dir, "documents"), size=50).drop("kept_text")
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
@@ -84,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm_scoring": op8_lm_scoring,
         "op9_quality_rules": op9_quality_rules,
         "op10_substring_dedup": op10_substring_dedup,
+        "op12_license_scan": op12_license_scan,
     }
 
 
@@ -93,4 +99,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_mixing": sql.mixing(max_repeats=MIXING.max_repeats),
         "op7_url_filters": sql.url_filters(URL_RULES),
         "op9_quality_rules": sql.quality_rules(),
+        "op12_license_scan": sql.license_scan(),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .license_rules import BASE, SEPARATORS, WEIGHTS, Signature, signatures
 from .quality_rules import (
     CLASS_SHARES,
     CLASSES,
@@ -194,3 +195,66 @@ SELECT page_id, host, path, CASE {arms(lambda r: r.name)} END AS rule,
   CASE {arms(lambda r: r.verdict)} WHEN {globs} THEN 'block' ELSE 'allow' END AS verdict
 FROM parts
 """
+
+
+def license_scan() -> str:
+    rules = ", ".join(
+        f"({i}, {_text(s.label)}, {WEIGHTS[s.kind]}, {s.priority}, {_text(s.regex)})"
+        for i, s in enumerate(signatures())
+    )
+    base = ", ".join(
+        f"({-1 - i}, {_text(label)}, 0.0, 0, {_text(Signature(label, '', phrase, 1).regex)})"
+        for i, (label, phrase) in enumerate(BASE)
+    )
+    size = "((len(%s) - len(replace(%s, ' ', ''))) // 2)"
+    return f"""
+WITH RECURSIVE given AS (
+  SELECT row_number() OVER () AS r, doc_id, ' ' || trim(regexp_replace(
+    lower(coalesce(text, '')), {_text(SEPARATORS)}, '  ', 'g')) || ' ' AS t FROM documents
+), rules(rule, label, weight, priority, regex) AS (VALUES {rules}, {base}
+), hits AS (
+  SELECT r, rule, priority, list_transform(regexp_extract_all(t, regex), lambda x:
+      {size % ('x', 'x')}) AS m,
+    list_transform(string_split_regex(t, regex), lambda x: {size % ('x', 'x')}) AS g
+  FROM given, rules WHERE regexp_matches(t, regex)
+), numbered AS (
+  SELECT r, rule, priority, m, g, unnest(range(1, len(m) + 1)) AS i FROM hits
+), spans AS (
+  SELECT r, rule, priority, list_sum(g[1:i]) + coalesce(list_sum(m[1:i - 1]), 0) AS start,
+    m[i] AS size FROM numbered
+), ordered AS (
+  SELECT r, rule, priority, start, start + size AS stop,
+    row_number() OVER (PARTITION BY r ORDER BY start, size DESC, rule) AS n
+  FROM spans WHERE rule >= 0
+), sweep AS (
+  SELECT r, n, start, stop, rule, priority, NULL::INTEGER AS out FROM ordered WHERE n = 1
+  UNION ALL
+  SELECT r, n, if(stays, a_start, b_start), if(stays, a_stop, b_stop), if(stays, a_rule, b_rule),
+    if(stays, a_priority, b_priority), if(stays OR (touch AND better), NULL, a_rule)
+  FROM (SELECT b.r, b.n, a.start AS a_start, a.stop AS a_stop, a.rule AS a_rule,
+      a.priority AS a_priority, b.start AS b_start, b.stop AS b_stop, b.rule AS b_rule,
+      b.priority AS b_priority, b.priority < a.priority AS better, b.start < a.stop AS touch,
+      b.start < a.stop AND b.priority >= a.priority
+        AND (b.stop <= a.stop OR b.priority > a.priority) AS stays
+    FROM sweep a JOIN ordered b ON a.r = b.r AND b.n = a.n + 1)
+), kept AS (
+  SELECT r, out AS rule FROM sweep WHERE out IS NOT NULL
+  UNION ALL
+  SELECT r, rule FROM sweep WHERE (r, n) IN (SELECT (r, max(n)) FROM ordered GROUP BY r)
+), found AS (
+  SELECT r, list(label) AS labels, max(weight)::DOUBLE AS score, count(*) AS n_found
+  FROM kept JOIN rules USING (rule) GROUP BY r
+), base AS (
+  SELECT r, list(label) AS labels, count(*) AS n_base, min(start) AS first_word,
+    max(start) AS last_word
+  FROM spans JOIN rules USING (rule) WHERE rule < 0 GROUP BY r
+)
+SELECT doc_id, (CASE WHEN t = '  ' THEN 0 ELSE {size % ('t', 't')} END)::BIGINT AS n_words,
+  coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word,
+  array_to_string(list_sort(list_distinct(coalesce(base.labels, []))), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(
+    list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))), ',') AS labels,
+  coalesce(score, 0) AS score, coalesce(n_found, 0)::BIGINT AS n_found
+FROM given LEFT JOIN base USING (r) LEFT JOIN found USING (r)
+"""
