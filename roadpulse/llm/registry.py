@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import sql
 from .decontaminate import contamination
 from .frames import table
+from .lexical_search import ranked_documents
 from .license_rules import license_report
 from .lpf_dedup import removal_report
 from .lm_filter import score_documents
@@ -77,6 +78,10 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
@@ -90,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_rules": op9_quality_rules,
         "op10_substring_dedup": op10_substring_dedup,
         "op12_license_scan": op12_license_scan,
+        "op13_lexical_search": op13_lexical_search,
     }
 
 
@@ -100,4 +106,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_url_filters": sql.url_filters(URL_RULES),
         "op9_quality_rules": sql.quality_rules(),
         "op12_license_scan": sql.license_scan(),
+        "op13_lexical_search": sql.lexical_search(),
     }

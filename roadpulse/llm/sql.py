@@ -258,3 +258,34 @@ SELECT doc_id, (CASE WHEN t = '  ' THEN 0 ELSE {size % ('t', 't')} END)::BIGINT
   coalesce(score, 0) AS score, coalesce(n_found, 0)::BIGINT AS n_found
 FROM given LEFT JOIN base USING (r) LEFT JOIN found USING (r)
 """
+
+
+def lexical_search(k: int = 50) -> str:
+    terms = "regexp_extract_all(%s, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    own = terms % (LOWER % "coalesce(text, '')")
+    return f"""
+WITH given AS (
+  SELECT row_number() OVER () AS r, doc_id, {own} AS words FROM documents
+), sizes AS (
+  SELECT r, doc_id, len(words)::BIGINT AS n FROM given WHERE len(words) > 0
+), corpus AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes
+), tf AS (
+  SELECT r, word, count(*)::BIGINT AS tf FROM (SELECT r, unnest(words) AS word FROM given)
+  GROUP BY r, word
+), weights AS (
+  SELECT word, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT word, count(*)::BIGINT AS df FROM tf GROUP BY word), corpus
+), items AS (
+  SELECT DISTINCT item_id, text, unnest({own}) AS word FROM benchmark
+), scores AS (
+  SELECT item_id, text, doc_id, r, sum(w * ((1000000000 * tf) //
+    (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM items JOIN tf USING (word) JOIN weights USING (word) JOIN sizes USING (r), corpus
+  GROUP BY item_id, text, doc_id, r
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id, text
+    ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scores WHERE score > 0)
+WHERE rank <= {k}
+"""
