@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import sql
 from .decontaminate import contamination
 from .frames import table
+from .hard_negatives import hard_negatives
 from .lexical_search import ranked_documents
 from .license_rules import license_report
 from .lpf_dedup import removal_report
@@ -74,6 +76,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_report(table(spark, sf_dir, "documents"), size=50).drop("kept_text")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), label, F.col("id") % 100 == 0)
+
+
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(table(spark, sf_dir, "documents"))
 
@@ -94,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm_scoring": op8_lm_scoring,
         "op9_quality_rules": op9_quality_rules,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_license_scan": op12_license_scan,
         "op13_lexical_search": op13_lexical_search,
     }
@@ -105,6 +113,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_mixing": sql.mixing(max_repeats=MIXING.max_repeats),
         "op7_url_filters": sql.url_filters(URL_RULES),
         "op9_quality_rules": sql.quality_rules(),
+        "op11_hard_negatives": sql.hard_negatives(),
         "op12_license_scan": sql.license_scan(),
         "op13_lexical_search": sql.lexical_search(),
     }

@@ -289,3 +289,28 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
     ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scores WHERE score > 0)
 WHERE rank <= {k}
 """
+
+
+def hard_negatives() -> str:
+    return """
+WITH good AS (
+  SELECT row_number() OVER () AS r, * FROM (SELECT DISTINCT vec_id,
+      CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+      list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+), scored AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM good a JOIN good b ON a.vec_id % 100 = 0 AND a.r <> b.r
+), positives AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS FIRST) AS p
+  FROM scored WHERE same QUALIFY p <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id, (row_number() OVER (
+    PARTITION BY p.r, p.p ORDER BY n.score DESC, n.vec_id NULLS FIRST))::INTEGER AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.r = p.r AND NOT n.same
+  AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+"""
