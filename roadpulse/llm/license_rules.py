@@ -4,7 +4,7 @@ A text becomes its lower-cased words, each with a space on either side, so that
 a regular expression over whole words. Three steps, all within the row (no shuffle):
 
 1. Keyword prefilter: a text with none of `STEMS` is not looked at further; in the others
-   a rule is tried only if its own keyword occurs.
+   a rule is tried only if its own keyword occurs, and located only if it matches.
 2. Detection: what is between the matches of a rule (split) and the matches themselves
    (extract) give the word spans, in the order of the text.
 3. Suppression: one sweep over the spans by start, longest first, earlier rule first. A
@@ -23,19 +23,23 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: What parts words, after A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A word that starts so is in every match of a rule.
+#: One of these is in every match of a rule. Each is searched as a pattern of its own, which
+#: Java does by leaps (Boyer-Moore); one pattern of alternatives would look at every character.
 STEMS = (
-    "licen", "unlicen", "spdx", "copyright", "copyleft", "gnu", "gpl", "lgpl", "agpl", "cc",
-    "creative", "domain", "permission", "redistribut", "misrepresented", "advertising", "neither",
-    "mozilla", "mpl", "unencumbered", "wtfpl", "want", "confidential", "opensource",
-    "creativecommons", "bigcode",
+    "licen", "spdx", "copyright", "copyleft", " gnu ", "gpl", " cc0? ", "creative", "domain",
+    "permission", "redistribut", "misrepresented", "contributors", "advertising", "mozilla",
+    "unencumbered", "wtfpl", "confidential", "openrail",
 )
+#: Words that tell little, so that a rule is not gated by them if it has another.
+COMMON = frozenset("license public open software under version the this terms agreement".split())
 
 #: Score of a detection by kind.
 WEIGHTS = {"tag": 1.0, "text": 1.0, "statement": 0.9, "title": 0.6, "hint": 0.3}
@@ -58,7 +62,9 @@ class Signature:
         while outside != (less := re.sub(r"\([^()]*\)(\?|\{[\d,]+\})?", " ", outside)):
             outside = less
         plain = re.findall(r"(?<!\S)[a-z0-9]+(?!\S)", outside)
-        return f" {max(plain, key=len)} " if plain and "|" not in outside else " "
+        if not plain or "|" in outside:
+            return " "
+        return f" {max(plain, key=lambda w: (w not in COMMON, len(w)))} "
 
     @property
     def regex(self) -> str:
@@ -117,10 +123,15 @@ ms-pl | ms pl | microsoft public license
 ms-rl | ms rl | microsoft reciprocal license
 lppl-1.3c | lppl 1 3c | latex project public license (version 1 3c|v1 3c|1 3c)
 cecill-2.1 | cecill 2 1 | cecill (free software )?license( agreement)? (version 2 1|v2 1|2 1)
-bsd-2-clause | bsd 2 clause | (simplified bsd license|freebsd license|(bsd 2|2|two) clause( bsd)? license)
-bsd-3-clause | bsd 3 clause | (new bsd license|modified bsd license|revised bsd license|(bsd 3|3|three) clause( bsd)? license)
-bsd-4-clause | bsd 4 clause | (original bsd license|(bsd 4|4|four) clause( bsd)? license)
-0bsd | 0bsd | (0bsd|zero clause bsd) license
+bsd-2-clause | bsd 2 clause | simplified bsd license
+bsd-2-clause | bsd 2 clause freebsd | freebsd license
+bsd-2-clause | bsd 2 clause license | (bsd 2|2|two) clause( bsd)? license
+bsd-3-clause | bsd 3 clause | (new|modified|revised) bsd license
+bsd-3-clause | bsd 3 clause license | (bsd 3|3|three) clause( bsd)? license
+bsd-4-clause | bsd 4 clause | original bsd license
+bsd-4-clause | bsd 4 clause license | (bsd 4|4|four) clause( bsd)? license
+0bsd | 0bsd | 0bsd license
+0bsd | 0bsd license | zero clause bsd license
 mit-0 | mit 0 | mit no attribution license
 mit | mit | mit license
 isc | isc | isc license
@@ -136,9 +147,12 @@ vim | vim | vim license
 curl | curl | curl license
 icu | icu | icu license
 json | json | json license
-cc0-1.0 | cc0 1 0 | (cc0 1 0|creative commons zero( v1 0| 1 0)?|cc0)( universal)?
-cc-by-4.0 | cc by 4 0 | (cc by|creative commons attribution)( license)? 4 0( international)?( public license| license)?
-cc-by-3.0 | cc by 3 0 | (cc by|creative commons attribution)( license)? 3 0( unported)?( license)?
+cc0-1.0 | cc0 1 0 | cc0( 1 0)?( universal)?
+cc0-1.0 | cc0 1 0 universal | creative commons zero( v1 0| 1 0)?( universal)?
+cc-by-4.0 | cc by 4 0 | cc by( license)? 4 0( international)?( license)?
+cc-by-4.0 | cc by 4 0 international | creative commons attribution 4 0( international)?( public license| license)?
+cc-by-3.0 | cc by 3 0 | cc by( license)? 3 0( unported)?( license)?
+cc-by-3.0 | cc by 3 0 unported | creative commons attribution 3 0( unported)?( license)?
 cc-by-sa-4.0 | cc by sa 4 0 | cc by sa 4 0
 cc-by-sa-3.0 | cc by sa 3 0 | cc by sa 3 0
 cc-by-nc-4.0 | cc by nc 4 0 | cc by nc 4 0
@@ -150,7 +164,7 @@ cc-by-sa-4.0 | cc by sa 4 0 international | creative commons attribution (sharea
 cc-by-nc-4.0 | cc by nc 4 0 international | creative commons attribution (noncommercial|non commercial) 4 0( international)?( license)?
 odbl-1.0 | odbl 1 0 | open (data commons open )?database license (version 1|v1|1)( 0)?
 odc-by-1.0 | odc by 1 0 | odc attribution license
-cdla-permissive-2.0 | cdla permissive 2 0 | (community data license agreement permissive (version )?2 0|cdla license)
+cdla-permissive-2.0 | cdla permissive 2 0 | community data license agreement permissive (version )?2 0
 bigcode-openrail-m | bigcode openrail m | bigcode openrail m( v1)?( license)?
 openrail | openrail | openrail license
 """
@@ -160,7 +174,8 @@ _TITLES = """
 gpl | gnu general public license
 gpl | (gnu )?gpl( license)
 apache | apache( software)? license
-cc-by | (cc by|creative commons attribution)( license)?
+cc-by | cc by( license)?
+cc-by | creative commons attribution( license)?
 lgpl | gnu (lesser|library) general public license
 lgpl | (gnu )?lgpl( license)
 agpl | (gnu )?affero general public license
@@ -179,7 +194,7 @@ cc-by-nd | cc by nd
 cc-by-nc-sa | cc by nc sa
 cc-by-nc-nd | cc by nc nd
 cc | creative commons( public)? license
-public-domain | (in|into|to) the public domain
+public-domain | the public domain
 """
 
 # label, words of a license's own text
@@ -193,7 +208,7 @@ bsd-3-clause | neither the name of( the)? \\S+{1,6} nor the names of its contrib
 bsd-4-clause | all advertising materials mentioning features or use of this software must display( the following \\S+)?
 apache-2.0 | licensed under the apache license version 2 0 the license
 apache-2.0 | www apache org licenses license 2 0
-gpl | (you can redistribute it and or modify it under the terms of the gnu general public license)
+gpl | you can redistribute it and or modify it under the terms of the gnu general public license
 gpl-2.0 | gnu general public license as published by the free software foundation either version 2( of the license)?
 gpl-3.0 | gnu general public license as published by the free software foundation either version 3( of the license)?
 gpl-2.0 | gnu general public license (as published by the free software foundation )?version 2 only
@@ -204,7 +219,7 @@ gpl | www gnu org licenses( gpl( \\S+){0,2})
 lgpl | www gnu org licenses lgpl( \\S+)?
 agpl | www gnu org licenses agpl( \\S+)?
 mpl-2.0 | this source code form is subject to the terms of the mozilla public license v 2 0
-mpl-2.0 | if a copy of the mpl was not distributed with this file
+mpl-2.0 | if a copy of the mpl was not distributed with this file you can obtain one at (http |https )?mozilla org( mpl 2 0)?
 mit | opensource org (license|licenses) mit( license)?
 bsd-3-clause | opensource org (license|licenses) bsd 3 clause
 bsd-2-clause | opensource org (license|licenses) bsd 2 clause
@@ -216,12 +231,12 @@ cc-by-nd-4.0 | creativecommons org licenses by nd 4 0
 cc-by-nc-sa-4.0 | creativecommons org licenses by nc sa 4 0
 cc-by-nc-nd-4.0 | creativecommons org licenses by nc nd 4 0
 cc0-1.0 | creativecommons org publicdomain zero( license)? 1 0
-zlib | (this software is provided as is without any express or implied warranty )?the origin of this software must not be misrepresented( you must not claim license)?
+zlib | the origin of this software must not be misrepresented( you must not claim license)?
 unlicense | this is free and unencumbered software released into the public domain
 wtfpl | do what the (fuck|f) you want to public license
 bsl-1.0 | permission is hereby granted free of charge to any person or organization obtaining a copy of the software
 ofl-1.1 | this font software is licensed under the sil open font license( version 1 1)?
-public-domain | (has been |is |are )?dedicated to the public domain
+public-domain | dedicated to the public domain
 public-domain | no copyright( and related rights)? (is )?claimed
 epl-2.0 | made available under the terms of the eclipse public license (v 2 0|2 0)
 cc-by | licensed under a creative commons attribution( \\S+){0,3} license
@@ -249,10 +264,10 @@ def signatures() -> list[Signature]:
     """All rules in order: per license its tag, its statements and its title, then texts,
     titles of families and hints."""
     rules = []
-    under = "(licen[cs]ed|released|distributed|available|published|provided) under( the)?"
     for label, tag, title in _lines(_LICENSES):
         rules.append(Signature(label, "tag", f"spdx license identifier {tag}", 1))
-        rules.append(Signature(label, "statement", f"{under} ({title})", 1))
+        named = f"({title})" if re.search(r"\|(?![^(]*\))", title) else title
+        rules.append(Signature(label, "statement", f"under( the)? {named}", 1))
         if "licen" in title or "cc" in title:
             rules.append(Signature(label, "title", title, 1))
     rules += [Signature(label, "text", words, 1) for label, words in _lines(_TEXTS)]
@@ -362,15 +377,19 @@ def _kept(found: Column) -> Column:
 
 
 def _rule_table(rules: list[Signature]) -> Column:
-    return F.array(
-        *[
+    """The rules by keyword."""
+    by_keyword: dict[str, list[Column]] = {}
+    for i, r in enumerate(rules):
+        by_keyword.setdefault(r.keyword, []).append(
             F.struct(
-                F.lit(i).alias("rule"),
-                F.lit(r.priority).alias("priority"),
-                F.lit(r.keyword).alias("keyword"),
+                F.lit(i).alias("rule"), F.lit(r.priority).alias("priority"),
                 F.lit(r.regex).alias("regex"),
-            )
-            for i, r in enumerate(rules)
+            )
+        )
+    return F.array(
+        *[
+            F.struct(F.lit(word).alias("keyword"), F.array(*own).alias("rules"))
+            for word, own in by_keyword.items()
         ]
     )
 
@@ -383,15 +402,15 @@ def scan_licenses(
     rules = signatures() if rules is None else rules
     own = docs.columns
     # words part at ASCII only, so that lower-casing other letters too changes no word's place
-    bare = F.regexp_replace(F.lower(F.coalesce(text_col, F.lit(""))), SEPARATORS, "  ")
-    # one space before the first word and one after the last
+    bare = F.regexp_replace(F.lower(F.coalesce(text_col, F.lit(""))), SEPARATORS, " ")
     step = docs.select(*own, F.concat(F.lit(" "), F.trim(bare), F.lit(" ")).alias(_NORM))
     text = F.col(_NORM)
-    n_words = F.when(text == "  ", 0).otherwise(
-        ((F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))) / 2).cast("bigint")
-    )
-    gate = text.rlike(f" (?:{'|'.join(STEMS)})")
-    step = step.select(*own, n_words.alias(_N), F.when(gate, text).alias(_NORM))
+    gaps = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(" "), F.lit("")))
+    n_words = F.when(text == "  ", 0).otherwise(gaps - 1).cast("bigint")
+    gate = reduce(or_, [text.rlike(stem) for stem in STEMS])
+    # a space on either side of each word
+    spaced = F.concat(F.lit(" "), F.replace(F.trim(text), F.lit(" "), F.lit("  ")), F.lit(" "))
+    step = step.select(*own, n_words.alias(_N), F.when(gate, spaced).alias(_NORM))
 
     base_table = F.array(
         *[
@@ -414,9 +433,11 @@ def scan_licenses(
             ),
         )
     )
+    hinted = F.filter(_rule_table(rules), lambda r: F.contains(F.col(_NORM), r["keyword"]))
+    gated = F.flatten(F.transform(hinted, lambda r: r["rules"]))
     spans = F.flatten(
         F.transform(
-            F.filter(_rule_table(rules), lambda r: F.contains(F.col(_NORM), r["keyword"])),
+            F.filter(gated, lambda r: F.rlike(F.col(_NORM), r["regex"])),
             lambda r: F.transform(
                 _word_spans(F.col(_NORM), r["regex"]),
                 lambda s: F.struct(
