@@ -17,6 +17,12 @@ from roadpulse.llm.registry import MIXING
 from roadpulse.llm.simhash import drop_near_copies
 
 
+#: Bytes of a string that counts as a repeated passage. Of the passages of 50 words in the check
+#: tool's documents (40,423 measured) 99 % are longer: quantiles 0.001, 0.01, 0.05, 0.5 are
+#: 149, 246, 269 and 309 bytes.
+REPEAT_BYTES = 240
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return drop_poor(docs)
@@ -29,7 +35,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of long strings go from the texts; their first occurrence stays."""
-    return drop_repeats(docs, length=400, keep="first")
+    return drop_repeats(docs, length=REPEAT_BYTES, keep="first")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
