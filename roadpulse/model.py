@@ -143,10 +143,12 @@ class Fleet:
 
     @cached_property
     def ordered(self) -> Timeline:
-        if not self.staged:
-            return segments.order_points(self.clean_telemetry)
+        """Points in order, with look-back columns, speed limit and the runs of all three
+        detectors, from one sort and one join."""
         points = quality.clean_telemetry(self._checks, segments.POINT)
-        timeline = segments.order_points(points)
+        limited = anomalies.with_speed_limit(points, self.dim_vehicle)
+        runs = anomalies.runs_of(anomalies.detectors(self.settings), self.settings)
+        timeline = segments.order_points(limited, runs)
         return timeline.with_frame(self._cut(timeline.frame, "ordered"))
 
     @cached_property
@@ -183,9 +185,8 @@ class Fleet:
     # events and facts
 
     def events(self, *chosen: anomalies.Detector) -> DataFrame:
-        return anomalies.detect(
-            self.ordered, self.dim_vehicle, self.settings, list(chosen) or None
-        )
+        chosen = list(chosen) or anomalies.detectors(self.settings)
+        return anomalies.collapse(self.ordered.frame, self.settings, chosen)
 
     @cached_property
     def anomaly_overspeed(self) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Gaps and islands: runs of flagged neighbours collapse into one row each."""
+"""Gaps and islands: runs of flagged neighbours share a number."""
 
 from __future__ import annotations
 
@@ -8,8 +8,7 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from roadpulse.functions import elapsed_seconds
-from roadpulse.operators.timeline import Timeline
+from roadpulse.operators.timeline import Runs, Timeline
 
 
 def mark_runs(
@@ -20,37 +19,17 @@ def mark_runs(
     previous_moment: str,
     max_gap_sec: int,
 ) -> Timeline:
-    """Keep the points that any flag is raised on and add, per flag, the position
-    at which the point's run started (NULL where the flag is not raised).
+    """Keep the points that any flag is raised on and add, per flag, a number that the
+    points of a run share (NULL where the flag is not raised).
 
-    A run goes on while the point right before is flagged too and not more than
-    ``max_gap_sec`` earlier (strictly: a gap of exactly that many seconds holds).
-    All flags share the windows, which run over the kept points only and in the
-    order the points already have; whether a kept point's neighbour was dropped
-    shows in the positions.
+    The general form, for points that may have been ordered before; what orders points
+    anew passes ``Runs`` to ``Timeline.in_order``, which finds both in one pass.
     """
-    columns = timeline.frame.columns
-    kept = timeline.with_frame(
-        timeline.frame.select("*", *[c.alias(f"_on_{n}") for n, c in flags.items()]).filter(
-            reduce(or_, [F.col(f"_on_{n}") for n in flags])
-        )
-    ).with_previous(
-        {"_last": F.col(position)} | {f"_was_{n}": F.col(f"_on_{n}") for n in flags}
+    kept = [c for c in timeline.frame.columns if c not in (position, previous_moment)]
+    again = timeline.with_frame(timeline.frame.select(*kept)).in_order(
+        position, {previous_moment: moment}, Runs(flags, moment, previous_moment, max_gap_sec)
     )
-    seconds = elapsed_seconds(F.col(previous_moment), F.col(moment))
-    goes_on = (F.col("_last") == F.col(position) - 1) & (
-        F.coalesce(seconds, F.lit(0)) <= max_gap_sec
-    )
-    starts = {
-        n: F.when(
-            F.col(f"_on_{n}") & ~F.coalesce(goes_on & F.col(f"_was_{n}"), F.lit(False)),
-            F.col(position),
-        )
-        for n in flags
-    }
-    marked = kept.with_latest({f"_run_{n}": c for n, c in starts.items()})
-    return marked.with_frame(
-        marked.frame.select(
-            *columns, *[F.when(F.col(f"_on_{n}"), F.col(f"_run_{n}")).alias(n) for n in flags]
-        )
+    raised = reduce(or_, [F.col(n).isNotNull() for n in flags])
+    return again.with_frame(
+        again.frame.filter(raised).select(*timeline.frame.columns, *flags)
     )

@@ -1,9 +1,10 @@
-"""Ordered points per key, with look-back columns that survive a hot key.
+"""Ordered points per key, with look-back columns and runs, that survive a hot key.
 
 Points are cut into slices of time, so that a key with much of the data is ordered by
-many tasks. Windows run per (key, slice); what a slice needs from the ones before it is
-carried over by a small table with one row per slice. There is one shape for every key
-and every size.
+many tasks. Windows run per (key, slice), on one sort. What a slice needs from the ones
+before it is one state per slice: its size, its last point, its first point, and per flag
+the last place at which no run goes on. The states of a key merge in order, and one join
+brings the result back to the points. There is one shape for every key and every size.
 """
 
 from __future__ import annotations
@@ -13,9 +14,28 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadpulse.functions import elapsed_seconds
+
 SLICE = "_slice"
 
 
+@dataclass(frozen=True)
+class Runs:
+    """Runs of flagged neighbours. A run goes on while the point right before is flagged
+    too and not more than ``max_gap_sec`` earlier (strictly: a gap of exactly that many
+    seconds holds). Flags may use the look-back columns by their new names."""
+
+    flags: dict[str, Column]
+    moment: str
+    previous_moment: str
+    max_gap_sec: int
+
+    def breaks(self, flag: Column) -> Column:
+        """Whether no run reaches this point from before: it is not flagged, or too late."""
+        late = elapsed_seconds(F.col(self.previous_moment), F.col(self.moment)) > self.max_gap_sec
+        return ~F.coalesce(flag, F.lit(False)) | F.coalesce(late, F.lit(False))
+
+
 @dataclass(frozen=True)
 class Timeline:
     """Rows with a key (not NULL), an order, and the slice of the order they lie in."""
@@ -31,93 +51,129 @@ class Timeline:
     def with_frame(self, frame: DataFrame) -> Timeline:
         return replace(self, frame=frame)
 
-    def _in_order(self):
-        return Window.partitionBy(*self.cell).orderBy(
-            *[F.col(c).asc_nulls_last() for c in self.order]
-        )
-
-    def _earlier_slices(self):
-        return (
-            Window.partitionBy(self.key)
-            .orderBy(SLICE)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-
-    def _carry(self, frame: DataFrame, per_slice: list[Column], carried: list[Column]):
-        """Join onto each row what its slice receives from the earlier slices.
-
-        The table has one row per key and slice and is not hinted: Spark broadcasts it
-        below its threshold, else the rows stay where they are and the table comes to
-        them, as they are partitioned by the cell already.
-        """
-        slices = frame.groupBy(*self.cell).agg(*per_slice)
-        return frame.join(slices.select(*self.cell, *carried), self.cell)
-
-    def numbered(self, name: str, previous: dict[str, str]) -> Timeline:
+    def in_order(
+        self, position: str, previous: dict[str, str], runs: Runs | None = None
+    ) -> Timeline:
         """Add a 1-based position per key and, per entry of ``previous`` (new name
-        -> column), that column's value at the point before."""
-        window = self._in_order()
+        -> column), that column's value at the point before; per flag of ``runs`` a number
+        that the points of a run share (NULL where the flag is not raised): the place of
+        the last break up to the point, 0 if there is none."""
+        flags = runs.flags if runs else {}
         columns = self.frame.columns
+        window = Window.partitionBy(*self.cell).orderBy(
+            *[F.col(c).asc_nulls_last() for c in self.order]
+        )
+        so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         values = F.struct(*[F.col(c).alias(n) for n, c in previous.items()])
         local = self.frame.select(
             "*",
             F.row_number().over(window).cast("bigint").alias("_position"),
             F.lag(values).over(window).alias("_before"),
         )
-        carried = self._carry(
-            local,
-            [
+        # the first point of a slice is judged by the slice's state
+        inner = local.select("*", *[F.col("_before")[n].alias(n) for n in previous]).select(
+            *columns,
+            "_position",
+            "_before",
+            *[
+                F.when((F.col("_position") > 1) & runs.breaks(flag), F.col("_position")).alias(
+                    f"_break_{n}"
+                )
+                for n, flag in flags.items()
+            ],
+        )
+        marked = inner.select(
+            *columns,
+            "_position",
+            "_before",
+            *[F.max(f"_break_{n}").over(so_far).alias(f"_break_{n}") for n in flags],
+        )
+        carried = self._merged(
+            marked.groupBy(*self.cell).agg(
                 F.count("*").alias("_size"),
                 F.max_by(values, F.col("_position")).alias("_tail"),
+                F.min_by(F.struct(*columns), F.col("_position")).alias("_first"),
+                *[F.max(f"_break_{n}").alias(f"_last_{n}") for n in flags],
+            ),
+            previous,
+            runs,
+        )
+        opens = F.col("_position") == 1
+        placed = marked.join(carried, self.cell).select(
+            *columns,
+            (F.col("_offset") + F.col("_position")).alias(position),
+            *[
+                F.when(opens, F.col("_handed")[n]).otherwise(F.col("_before")[n]).alias(n)
+                for n in previous
             ],
-            [
-                F.sum("_size").over(self._earlier_slices()).alias("_offset"),
-                F.lag("_tail")
-                .over(Window.partitionBy(self.key).orderBy(SLICE))
-                .alias("_handed"),
+            *[
+                F.coalesce(F.col("_offset") + F.col(f"_break_{n}"), F.col(f"_open_{n}")).alias(
+                    f"_run_{n}"
+                )
+                for n in flags
             ],
         )
-        opens_slice = F.col("_position") == 1
         return self.with_frame(
-            carried.select(
+            placed.select(
                 *columns,
-                (F.coalesce("_offset", F.lit(0)) + F.col("_position")).alias(name),
-                *[
-                    F.when(opens_slice, F.col("_handed")[n])
-                    .otherwise(F.col("_before")[n])
-                    .alias(n)
-                    for n in previous
-                ],
+                position,
+                *previous,
+                *[F.when(flag, F.col(f"_run_{n}")).alias(n) for n, flag in flags.items()],
             )
         )
 
-    def with_previous(self, previous: dict[str, Column]) -> Timeline:
-        """Add, per entry, the expression's value at the point before."""
-        staged = self.frame.select("*", *[c.alias(f"_{n}") for n, c in previous.items()])
-        numbered = self.with_frame(staged).numbered(
-            "_seen", {n: f"_{n}" for n in previous}
+    def _merged(self, states: DataFrame, previous: dict[str, str], runs: Runs | None) -> DataFrame:
+        """What each slice receives: the points before it, the last of them, and per flag
+        the last break up to and including its first point. One row per key and slice."""
+        flags = runs.flags if runs else {}
+        line = Window.partitionBy(self.key).orderBy(SLICE)
+        earlier = line.rowsBetween(Window.unboundedPreceding, -1)
+        handed = states.select(
+            *self.cell,
+            "_first",
+            F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"),
+            F.lag("_tail").over(line).alias("_handed"),
+            *[f"_last_{n}" for n in flags],
         )
-        return self.with_frame(numbered.frame.drop("_seen", *[f"_{n}" for n in previous]))
-
-    def with_latest(self, latest: dict[str, Column]) -> Timeline:
-        """Add, per entry, the largest non-NULL value up to and including the row."""
-        window = self._in_order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        columns = self.frame.columns
-        local = self.frame.select(
-            "*", *[F.max(c).over(window).alias(f"_{n}") for n, c in latest.items()]
+        if not flags:
+            return handed.drop("_first")
+        first = [
+            F.col("_first")[f.name].alias(f.name)
+            for f in states.schema["_first"].dataType.fields
+            if f.name not in self.cell
+        ]
+        seen = handed.select(
+            *self.cell,
+            *first,
+            *[F.col("_handed")[n].alias(n) for n in previous],
+            "_offset",
+            "_handed",
+            *[f"_last_{n}" for n in flags],
         )
-        carried = self._carry(
-            local,
-            [F.max(f"_{n}").alias(f"_{n}_peak") for n in latest],
-            [
-                F.max(f"_{n}_peak").over(self._earlier_slices()).alias(f"_{n}_handed")
-                for n in latest
+        broken = seen.select(
+            *self.cell,
+            "_offset",
+            "_handed",
+            *[f"_last_{n}" for n in flags],
+            *[
+                F.when(runs.breaks(flag), F.col("_offset") + 1).alias(f"_at_{n}")
+                for n, flag in flags.items()
             ],
         )
-        return self.with_frame(
-            carried.select(
-                *columns, *[F.greatest(f"_{n}", f"_{n}_handed").alias(n) for n in latest]
-            )
+        return broken.select(
+            *self.cell,
+            "_offset",
+            "_handed",
+            *[
+                F.coalesce(
+                    F.col(f"_at_{n}"),
+                    F.max(
+                        F.coalesce(F.col("_offset") + F.col(f"_last_{n}"), F.col(f"_at_{n}"))
+                    ).over(earlier),
+                    F.lit(0),
+                ).alias(f"_open_{n}")
+                for n in flags
+            ],
         )
 
 

@@ -15,7 +15,7 @@ from roadpulse.functions import (
     round_half_away,
     time_key,
 )
-from roadpulse.operators import Timeline, mark_runs
+from roadpulse.operators import Runs
 from roadpulse.settings import EXCESSIVE_IDLING, GPS_JUMP, OVERSPEEDING, Settings
 
 
@@ -83,35 +83,31 @@ def detectors(settings: Settings) -> list[Detector]:
     return [overspeeding(), excessive_idling(settings), gps_jump(settings)]
 
 
-def with_speed_limit(ordered: DataFrame, vehicles: DataFrame) -> DataFrame:
+def with_speed_limit(points: DataFrame, vehicles: DataFrame) -> DataFrame:
     """Attach each vehicle's limit, one per vehicle, NULL if its type has none.
 
-    No hint: small limit lists are broadcast, larger ones are joined on
-    vehicle_id, by which the points are partitioned already.
+    No hint: small limit lists are broadcast, larger ones are joined on vehicle_id.
     """
     limits = vehicles.groupBy("vehicle_id").agg(
         F.max("speed_limit_kmph").alias("speed_limit_kmph")
     )
-    return ordered.join(limits, "vehicle_id", "left")
+    return points.join(limits, "vehicle_id", "left")
 
 
-def collapse(
-    timeline: Timeline, vehicles: DataFrame, settings: Settings, chosen: list[Detector]
-) -> DataFrame:
-    """Events of one timeline, for all chosen detectors in one pass.
+def runs_of(chosen: list[Detector], settings: Settings) -> Runs:
+    """The runs of the detectors' flags, for points with look-back columns and limit."""
+    return Runs(
+        {d.column: d.flag for d in chosen}, "event_timestamp", "prev_ts", settings.run_gap_sec
+    )
+
+
+def collapse(marked: DataFrame, settings: Settings, chosen: list[Detector]) -> DataFrame:
+    """Events of ordered points whose runs are marked, for all chosen detectors in one pass.
 
     A point that is part of events of several types contributes one narrow record
     to each, and the records are grouped per (vehicle, type, run), combining in
     the map tasks.
     """
-    marked = mark_runs(
-        timeline.with_frame(with_speed_limit(timeline.frame, vehicles)),
-        {d.column: d.flag for d in chosen},
-        "seq",
-        "event_timestamp",
-        "prev_ts",
-        settings.run_gap_sec,
-    )
     records = F.array(
         *[
             F.when(
@@ -128,7 +124,7 @@ def collapse(
         ]
     )
     kept = ["vehicle_id", "driver_id", "trip_id", "event_timestamp", "latitude", "longitude"]
-    points = marked.frame.select(*kept, "seq", F.inline(records)).filter("run IS NOT NULL")
+    points = marked.select(*kept, "seq", F.inline(records)).filter("run IS NOT NULL")
     seq, moment = F.col("seq"), F.col("event_timestamp")
     events = (
         # the run comes first: sorting for the groups then compares numbers
@@ -165,16 +161,6 @@ def collapse(
     )
 
 
-def detect(
-    timeline: Timeline,
-    vehicles: DataFrame,
-    settings: Settings,
-    chosen: list[Detector] | None = None,
-) -> DataFrame:
-    """Events of all vehicles."""
-    return collapse(timeline, vehicles, settings, chosen or detectors(settings))
-
-
 def overspeed_events(events: DataFrame) -> DataFrame:
     return events.filter(F.col("anomaly_type") == OVERSPEEDING).select(
         "vehicle_id",

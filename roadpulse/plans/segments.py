@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import date_key, elapsed_seconds
-from roadpulse.operators import Timeline, open_timeline
+from roadpulse.operators import Runs, Timeline, open_timeline
 from roadpulse.settings import Settings
 
 ORDER = ("event_timestamp", "event_id")
@@ -35,10 +35,11 @@ LOOK_BACK = {
 }
 
 
-def order_points(points: DataFrame) -> Timeline:
-    """Points in order per vehicle, in slices of a day; those without a time come last."""
+def order_points(points: DataFrame, runs: Runs | None = None) -> Timeline:
+    """Points in order per vehicle, in slices of a day, with the runs of their flags; those
+    without a time come last."""
     timeline = open_timeline(points, "vehicle_id", ORDER, F.to_date("event_timestamp"))
-    return timeline.numbered("seq", LOOK_BACK)
+    return timeline.in_order("seq", LOOK_BACK, runs)
 
 
 def segment_seconds(settings: Settings) -> Column:

@@ -30,18 +30,20 @@ def built(spark, tmp_path_factory):
 
 
 def test_published_counts_of_the_test_tables(built):
+    """As an independent SQL count of the views has them, missing ids, times and levels
+    included."""
     _, star = built
     log = {r["check_name"]: r["records_affected"] for r in star["dq_log"].collect()}
     assert log["total_raw_rows"] == 10150
     assert [log[c] for c in ("out_of_range_date", "duplicate_event_id", "invalid_gps")] == [
-        334, 145, 94,
+        334, 149, 93,
     ]
     assert [log[c] for c in ("negative_speed", "orphan_vehicle", "rows_accepted")] == [
-        19, 701, 8857,
+        19, 701, 8854,
     ]
     assert [
         log[c] for c in ("orphan_driver", "orphan_trip", "battery_out_of_range", "null_trip_id")
-    ] == [477, 787, 715, 1278]
+    ] == [477, 787, 708, 1278]
 
 
 def test_keys_hold(built):
