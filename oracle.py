@@ -506,6 +506,8 @@ def statements() -> dict[str, str]:
         "raw_folder_trip_summary": "SELECT * FROM fact_trip_summary",
         "csv_round_trip": "SELECT * FROM fact_trip_summary",
         "parquet_by_day_round_trip": "SELECT * FROM fact_daily_vehicle_summary",
-        "delivered_row_counts": finals["table_row_counts"],
+        # the delivered set holds the list of speed limits too
+        "delivered_row_counts": finals["table_row_counts"]
+        + f" UNION ALL SELECT 'ref_speed_limit', {len(SPEED_LIMITS)}::BIGINT",
     }
     return {name: ask(final) for name, final in finals.items()}

@@ -89,6 +89,26 @@ def save_tables(star: Star, database: str, speed_limits: DataFrame | None = None
         df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
 
 
+def register_tables(
+    spark: SparkSession, database: str, root: str, schemas: Mapping[str, T.StructType],
+    by_day: bool = False,
+) -> None:
+    """Replace tables of a catalog database by external ones over written Parquet files,
+    without a second write. ``by_day`` as in ``write_parquet``."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name, schema in schemas.items():
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        dated = by_day and name.startswith("fact_")
+        days = "PARTITIONED BY (date_key)" if dated else ""
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        spark.sql(
+            f"CREATE TABLE {database}.{name} ({columns}) USING parquet {days} "
+            f"LOCATION '{root}/{name}.parquet'"
+        )
+        if dated:
+            spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+
+
 @dataclass(frozen=True)
 class JdbcTarget:
     """A relational database, reached from the executors over JDBC."""
