@@ -69,12 +69,14 @@ class Timeline:
             "*",
             F.row_number().over(window).cast("bigint").alias("_position"),
             F.lag(values).over(window).alias("_before"),
+            F.lead(F.lit(True)).over(window).isNull().alias("_ends"),
         )
         # the first point of a slice is judged by the slice's state
         inner = local.select("*", *[F.col("_before")[n].alias(n) for n in previous]).select(
             *columns,
             "_position",
             "_before",
+            "_ends",
             *[
                 F.when((F.col("_position") > 1) & runs.breaks(flag), F.col("_position")).alias(
                     f"_break_{n}"
@@ -86,11 +88,13 @@ class Timeline:
             *columns,
             "_position",
             "_before",
+            "_ends",
             *[F.max(f"_break_{n}").over(so_far).alias(f"_break_{n}") for n in flags],
         )
+        # the two ends of a slice tell its whole state, as breaks run along
         carried = self._merged(
-            marked.groupBy(*self.cell).agg(
-                F.count("*").alias("_size"),
+            marked.filter("_position = 1 OR _ends").groupBy(*self.cell).agg(
+                F.max("_position").alias("_size"),
                 F.max_by(values, F.col("_position")).alias("_tail"),
                 F.min_by(F.struct(*columns), F.col("_position")).alias("_first"),
                 *[F.max(f"_break_{n}").alias(f"_last_{n}") for n in flags],

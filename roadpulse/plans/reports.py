@@ -7,6 +7,7 @@ meet a dimension, so joins see a few rows per key and hot keys cost nothing.
 
 from __future__ import annotations
 
+import operator
 from collections import ChainMap
 from collections.abc import Mapping
 from datetime import date
@@ -67,6 +68,14 @@ def in_context(
         out["fact_anomaly_events"] = out["fact_anomaly_events"].filter(
             F.col("anomaly_type").isin(anomaly_types)
         )
+    # the same days once more as key bounds, which reach the files of a by-day layout
+    bounds = [
+        limit(F.col("date_key"), int(f"{day:%Y%m%d}"))
+        for day, limit in ((from_day, operator.ge), (to_day, operator.le))
+        if day is not None
+    ]
+    for fact in FACTS if bounds else []:
+        out[fact] = out[fact].filter(reduce(operator.and_, bounds))
     for dim, key in [
         ("dim_vehicle", "vehicle_id"), ("dim_driver", "driver_id"), ("dim_date", "date_key"),
     ]:
@@ -99,16 +108,35 @@ def fleet_kpis(star: Star, **slicers) -> DataFrame:
     undated = in_context(
         star, **{k: v for k, v in slicers.items() if k not in ("from_day", "to_day")}
     )
-    drove = F.when(F.col("total_distance_km") > 0, F.col("vehicle_id"))
+    # one scan of the daily fact for both: its rows, marked by whether they are in the
+    # chosen days and on the last one
     last_day = star["dim_date"].agg(F.max("date_key").alias("date_key"))
+    daily = undated["fact_daily_vehicle_summary"].join(
+        last_day.withColumn("_today", F.lit(True)), "date_key", "left"
+    )
+    if context["dim_date"] is star["dim_date"]:
+        daily = daily.withColumn("_chosen", F.lit(True))
+    else:
+        days = context["dim_date"].select("date_key", F.lit(True).alias("_chosen"))
+        daily = daily.join(days, "date_key", "left")
+
+    def where(mark: str, column: str) -> Column:
+        return F.when(F.col(mark), F.col(column))
+
+    drove = F.col("total_distance_km") > 0
     measures = _one_row(
         [
             context["dim_vehicle"].agg(F.count_distinct("vehicle_id").alias("total_vehicles")),
-            context["fact_daily_vehicle_summary"].agg(
-                _round2(F.sum("total_distance_km")).alias("total_distance_km"),
-                F.count_distinct(drove).alias("active_vehicles"),
-                _round2(F.sum("running_hours")).alias("running_hours"),
-                _round2(F.sum("idle_hours")).alias("idle_hours"),
+            daily.agg(
+                _round2(F.sum(where("_chosen", "total_distance_km"))).alias("total_distance_km"),
+                F.count_distinct(F.when(drove, where("_chosen", "vehicle_id"))).alias(
+                    "active_vehicles"
+                ),
+                _round2(F.sum(where("_chosen", "running_hours"))).alias("running_hours"),
+                _round2(F.sum(where("_chosen", "idle_hours"))).alias("idle_hours"),
+                F.count_distinct(F.when(drove, where("_today", "vehicle_id"))).alias(
+                    "active_today"
+                ),
             ),
             context["fact_trip_summary"].agg(
                 F.count_distinct("trip_id").alias("total_trips"),
@@ -119,9 +147,6 @@ def fleet_kpis(star: Star, **slicers) -> DataFrame:
                 F.count_if(F.col("anomaly_type") != GPS_JUMP).alias("driver_anomalies"),
                 F.count_if(_is_high_overspeed()).alias("_high"),
             ),
-            undated["fact_daily_vehicle_summary"]
-            .join(last_day, "date_key", "left_semi")
-            .agg(F.count_distinct(drove).alias("active_today")),
         ]
     )
     score = safety_score(F.col("_high"), F.col("driver_distance_km"))

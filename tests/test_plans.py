@@ -6,11 +6,13 @@ import re
 
 import pytest
 
-from fleet_points import TESTDATA
+from fleet_points import START, TESTDATA, point
 from roadpulse import Fleet
-from roadpulse.plans import facts, segments
+from roadpulse.operators import mark_duplicates
+from roadpulse.plans import facts, reports, segments
 from roadpulse.sources import load_raw, load_testbed
 from roadpulse.sources.testbed import TESTBED_SETTINGS
+from roadpulse.warehouse import build_warehouse, open_warehouse
 
 
 @pytest.fixture(scope="module")
@@ -77,6 +79,26 @@ def test_no_python_and_no_single_task_window(fleet, table):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_rows_of_single_ids_are_not_shuffled_for_the_duplicate_flag(fleet):
+    text = plan(mark_duplicates(fleet.raw.telemetry, "event_id", "event_timestamp"))
+    single, _, again = text.partition("Window")
+    assert "Exchange hashpartitioning" not in single.split("BroadcastExchange")[0]
+    # two ranks of the rows with repeated ids, and the count of the ids alone
+    assert again.count("Exchange hashpartitioning(event_id") == 3
+
+
+def test_kpis_read_each_fact_once_and_days_prune_files(spark, tmp_path, make_fleet):
+    points = [point(f"e{i}", 86400 * (i % 3) + 60 * i, speed_kmph=99.0) for i in range(30)]
+    build_warehouse(make_fleet(points, staged=True), str(tmp_path), csv=False, by_day=True)
+    star = open_warehouse(spark, str(tmp_path))
+    text = plan(reports.fleet_kpis(star, from_day=START.date(), to_day=START.date()))
+    for fact in reports.FACTS:
+        assert len(re.findall(rf"FileScan parquet.*{fact}", text)) == 1, fact
+    found = plan(reports.in_context(star, from_day=START.date())["fact_anomaly_events"])
+    scan = next(x for x in found.splitlines() if "fact_anomaly_events" in x)
+    assert re.search(r"PartitionFilters: \[[^\]]*date_key#\d+ >= 20250120", scan)
+
+
 def test_rollup_is_a_hash_aggregate(fleet):
     text = plan(fleet.rollup)
     assert re.search(r"HashAggregate\(keys=\[vehicle_id#\d+, driver_id", text)
@@ -84,7 +106,6 @@ def test_rollup_is_a_hash_aggregate(fleet):
 
 
 def test_raw_side_of_the_log_reads_ids_and_times_only(spark, tmp_path, make_fleet):
-    from fleet_points import point
     from roadpulse.plans import quality
     from roadpulse.sources import schemas
 
