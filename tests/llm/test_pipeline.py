@@ -34,7 +34,7 @@ def test_each_stage_on_its_input(spark):
 
     cut = corpus_pipeline.stage(stages["suffix_array_dedup"](spark, unique, SF))
     before, after = dict(rows_of(unique)), dict(rows_of(cut))
-    want = brute_bytes(list(before.items()), 400, "first")
+    want = brute_bytes(list(before.items()), corpus_pipeline.REPEAT_BYTES, "first")
     assert before.keys() == after.keys()
     for d, (n, removed, _, _) in want.items():
         left = len(after[d].encode())
