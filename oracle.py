@@ -16,6 +16,7 @@ from roadpulse.sources import testbed
 WINDOW_END = "TIMESTAMP '2024-01-30 00:00:00'"
 LAST_DAY = "DATE '2024-01-29'"
 RUN_GAP = testbed.TESTBED_SETTINGS.run_gap_sec
+EARTH_RADIUS_KM = testbed.TESTBED_SETTINGS.earth_radius_km
 
 
 def _tables(text: str) -> str:
@@ -174,7 +175,7 @@ PARTS: dict[str, str] = {
         FROM (SELECT *, date_diff('second', prev_ts, event_timestamp) AS raw_sec
               FROM points WHERE prev_ts IS NOT NULL) t""",
     # anomalies
-    "suspects": """
+    "suspects": f"""
         SELECT 'OVERSPEEDING' AS kind, p.vehicle_id, driver_id, trip_id, seq, event_timestamp,
                event_timestamp AS since, latitude, longitude, speed_kmph AS peak,
                CAST(speed_limit_kmph AS DOUBLE) AS threshold
@@ -188,7 +189,7 @@ PARTS: dict[str, str] = {
         SELECT 'GPS_JUMP', vehicle_id, driver_id, trip_id, seq, event_timestamp, prev_ts,
                latitude, longitude, arc / (sec / 3600), 200
         FROM (SELECT *, date_diff('second', prev_ts, event_timestamp) AS sec,
-                     12742 * asin(sqrt(
+                     2 * {EARTH_RADIUS_KM} * asin(sqrt(
                        pow(sin(radians(latitude - prev_lat) / 2), 2)
                        + cos(radians(latitude)) * cos(radians(prev_lat))
                          * pow(sin(radians(longitude - prev_lon) / 2), 2))) AS arc
