@@ -119,11 +119,11 @@ class Fleet:
 
     @cached_property
     def flagged_telemetry(self) -> DataFrame:
-        return quality.flagged_telemetry(self.raw, self.settings)
+        return quality.flagged_telemetry(self.raw, self.settings, self.workspace)
 
     @cached_property
     def checked_telemetry(self) -> DataFrame:
-        return quality.checked_telemetry(self.raw, self.settings)
+        return quality.checked_telemetry(self.raw, self.settings, self.workspace)
 
     @cached_property
     def _checks(self) -> DataFrame:

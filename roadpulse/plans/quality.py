@@ -8,10 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.operators import first_copies, mark_duplicates
+from roadpulse.session import Workspace
 from roadpulse.settings import UNKNOWN_DRIVER, Settings
 from roadpulse.sources import RawTables
 from roadpulse.sources.schemas import TELEMETRY
 
+# A list of unknown ids goes to all tasks up to this size, measured.
+SHORT_LIST_BYTES = 64 << 20
+
 # Names of the flags, reasons and checks.
 FLAGS = [
     "is_after_range",
@@ -72,40 +76,82 @@ def row_flags(settings: Settings) -> dict[str, Column]:
     }
 
 
-def _with_master_flags(df: DataFrame, raw: RawTables) -> DataFrame:
+def _broadcastable(df: DataFrame) -> bool:
+    """Whether Spark would broadcast ``df`` by its own estimate of the size."""
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
+def unknown_ids(
+    telemetry: DataFrame, column: str, known: DataFrame, workspace: Workspace
+) -> tuple[DataFrame, bool]:
+    """Ids of the telemetry that ``known`` (one column) lacks, and whether the list is short.
+
+    One pass over one column: ids are made distinct in the map tasks and an anti join of
+    ids meets the master, so that no row of the telemetry is shuffled. The list is written,
+    since its size is measured and the plan reads it again.
+    """
+    ids = telemetry.select(F.col(column).alias("_unknown")).dropna().distinct()
+    master = known.toDF("_known")
+    found = workspace.cut(
+        ids.join(master, F.col("_unknown") == F.col("_known"), "left_anti"), f"unknown_{column}"
+    )
+    # text and the overhead of an entry in a hash table
+    size = found.agg(F.sum(F.octet_length("_unknown") + 64)).first()[0] or 0
+    return found, size <= SHORT_LIST_BYTES
+
+
+def _with_master_flags(df: DataFrame, raw: RawTables, workspace: Workspace | None) -> DataFrame:
     """Look every id up in its master.
 
-    Masters are reduced to distinct keys, so a repeated master key cannot
-    multiply telemetry. No join is hinted: Spark broadcasts a key list only if
-    its size is below the threshold and sort-merges (with skew splitting)
-    otherwise. The vehicle comes last so that a shuffle on vehicle_id, if one is
-    needed, also serves the per-vehicle ordering that follows.
+    Masters are reduced to distinct keys, so a repeated master key cannot multiply
+    telemetry. A key list that Spark would broadcast is joined as it is. For a larger one
+    the few ids that it lacks are found first, and that list goes to the rows instead:
+    broadcast while its measured size is below ``SHORT_LIST_BYTES``. A longer list is joined
+    by a shuffle, in which rows without an id are spread by their event and hot ids are split
+    by Spark.
     """
+    workspace = workspace or Workspace(df.sparkSession)
     found = df
-    for column, master in [
-        ("trip_id", raw.trips),
-        ("driver_id", raw.drivers),
-        ("vehicle_id", raw.vehicles),
+    for column, flag, master in [
+        ("trip_id", "is_orphan_trip", raw.trips),
+        ("driver_id", "is_orphan_driver", raw.drivers),
+        ("vehicle_id", "is_orphan_vehicle", raw.vehicles),
     ]:
-        known = master.select(F.col(column).alias(f"_{column}")).distinct()
-        found = found.join(known, F.col(column) == F.col(f"_{column}"), "left")
-    return found.withColumns(
-        {
-            "is_orphan_vehicle": F.col("_vehicle_id").isNull(),
-            "is_orphan_driver": F.col("_driver_id").isNull(),
-            "is_orphan_trip": F.col("trip_id").isNotNull() & F.col("_trip_id").isNull(),
-        }
-    ).drop("_trip_id", "_driver_id", "_vehicle_id")
-
-
-def flagged_telemetry(raw: RawTables, settings: Settings) -> DataFrame:
+        known = master.select(F.col(column).alias("_known")).distinct()
+        if _broadcastable(known):
+            found = found.join(known, F.col(column) == F.col("_known"), "left")
+            orphan = F.col("_known").isNull()
+        else:
+            unknown, short = unknown_ids(raw.telemetry, column, known, workspace)
+            key = F.col(column)
+            if short:
+                unknown = F.broadcast(unknown)
+            else:
+                spread = F.xxhash64("event_id", "event_timestamp").cast("string")
+                key = F.coalesce(key, spread)
+            found = found.join(unknown, key == F.col("_unknown"), "left")
+            orphan = F.col(column).isNull() | F.col("_unknown").isNotNull()
+        if flag == "is_orphan_trip":  # a row may be off trip
+            orphan = F.col(column).isNotNull() & orphan
+        found = found.withColumn(flag, orphan).drop("_known", "_unknown")
+    return found
+
+
+def flagged_telemetry(
+    raw: RawTables, settings: Settings, workspace: Workspace | None = None
+) -> DataFrame:
     """Every raw row with all nine flags, which may overlap."""
     ranked = mark_duplicates(raw.telemetry, "event_id", "event_timestamp")
-    flagged = _with_master_flags(ranked.withColumns(row_flags(settings)), raw)
+    flagged = _with_master_flags(ranked.withColumns(row_flags(settings)), raw, workspace)
     return flagged.select(*raw.telemetry.columns, *FLAGS)
 
 
-def checked_telemetry(raw: RawTables, settings: Settings) -> DataFrame:
+def checked_telemetry(
+    raw: RawTables, settings: Settings, workspace: Workspace | None = None
+) -> DataFrame:
     """The first copy of every event with its flags and ``reject_reason`` (NULL if
     the row is accepted).
 
@@ -113,7 +159,7 @@ def checked_telemetry(raw: RawTables, settings: Settings) -> DataFrame:
     needs about them is their number, which is counted on the raw ids and times.
     """
     firsts = first_copies(raw.telemetry, "event_id", "event_timestamp")
-    flagged = _with_master_flags(firsts.withColumns(row_flags(settings)), raw)
+    flagged = _with_master_flags(firsts.withColumns(row_flags(settings)), raw, workspace)
     return with_reject_reason(flagged)
 
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fleet_points import TESTDATA, rows
+from fleet_points import TESTDATA, point, rows
 from roadpulse import Fleet
 from roadpulse.operators import SLICE
-from roadpulse.plans import segments
+from roadpulse.plans import quality, segments
 from roadpulse.sources import load_testbed
 from roadpulse.sources.testbed import TESTBED_SETTINGS
 
@@ -43,16 +46,71 @@ def test_staging_changes_nothing_and_leaves_nothing(spark, fleet):
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def test_masters_too_large_to_broadcast(spark, fleet):
-    """Without broadcasts the masters and the slices are sort-merged, to the same result."""
-    expected = rows(fleet.fact_trip_summary)
+@pytest.fixture
+def no_broadcasts(spark):
     names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     for name in names:
         spark.conf.set(name, "-1")
-    try:
-        merged = Fleet(spark, fleet.raw, TESTBED_SETTINGS).fact_trip_summary
-        assert rows(merged) == expected
-        assert "BroadcastHashJoin" not in merged._jdf.queryExecution().toString()
-    finally:
-        for name in names:
-            spark.conf.unset(name)
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def test_masters_too_large_to_broadcast(spark, fleet, request, monkeypatch):
+    """Without broadcasts the masters and the slices are sort-merged, to the same result,
+    even where the lists of unknown ids are too long as well."""
+    expected = rows(fleet.fact_trip_summary)
+    request.getfixturevalue("no_broadcasts")
+    monkeypatch.setattr(quality, "SHORT_LIST_BYTES", -1)
+    merged = Fleet(spark, fleet.raw, TESTBED_SETTINGS).fact_trip_summary
+    assert rows(merged) == expected
+    assert "BroadcastHashJoin" not in merged._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("table", ["flagged_telemetry", "checked_telemetry"])
+@pytest.mark.parametrize("limit", [quality.SHORT_LIST_BYTES, -1])
+def test_unknown_ids_find_the_same_orphans(spark, fleet, request, monkeypatch, table, limit):
+    """Masters too large to broadcast: rows meet the unknown ids, not the masters."""
+    expected = rows(getattr(fleet, table))
+    request.getfixturevalue("no_broadcasts")
+    monkeypatch.setattr(quality, "SHORT_LIST_BYTES", limit)
+    looked_up = getattr(Fleet(spark, fleet.raw, TESTBED_SETTINGS), table)
+    assert rows(looked_up) == expected
+    wide = re.findall(
+        r"hashpartitioning\((?:coalesce\()?(trip_id|driver_id|vehicle_id)#",
+        looked_up._jdf.queryExecution().executedPlan().toString(),
+    )
+    assert (wide == []) == (limit > 0)
+
+
+@pytest.mark.parametrize("limit", [quality.SHORT_LIST_BYTES, -1])
+def test_rows_without_ids_pass_around_the_unknown_ids(
+    make_fleet, no_broadcasts, monkeypatch, limit
+):
+    monkeypatch.setattr(quality, "SHORT_LIST_BYTES", limit)
+    fleet = make_fleet(
+        [point(f"n{i}", i, trip_id=None, driver_id=None, vehicle_id=None) for i in range(200)]
+        + [point(f"u{i}", i, trip_id="T9", driver_id=f"D{i}") for i in range(100)]
+        + [point(None, None, vehicle_id="V9", trip_id="")]
+    )
+    names = ["is_orphan_trip", "is_orphan_driver", "is_orphan_vehicle"]
+    counted = fleet.flagged_telemetry.groupBy("trip_id", *names).count()
+    assert rows(counted, "trip_id", *names, "count") == sorted(
+        [
+            (None, False, True, True, 200),
+            ("T9", True, False, False, 2),  # D1 and D2 are known
+            ("T9", True, True, False, 98),
+            ("", True, False, True, 1),
+        ],
+        key=repr,
+    )
+
+
+def test_empty_telemetry_and_masters_without_broadcasts(spark, make_fleet, no_broadcasts):
+    fleet = make_fleet([])
+    assert fleet.checked_telemetry.count() == 0
+    bare = replace(fleet.raw, trips=fleet.raw.trips.limit(0), telemetry=make_fleet(
+        [point("a", 0)]
+    ).raw.telemetry)
+    found = rows(Fleet(spark, bare).flagged_telemetry, "is_orphan_trip", "is_orphan_driver")
+    assert found == [(True, False)]
