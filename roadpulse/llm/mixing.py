@@ -14,7 +14,9 @@ the smallest one that leaves no document out: the source that gets least passes
 Tokens are words. Defined results: a null source is the source named ''; a source without
 tokens is taken once, as it costs nothing; equal rows are separate documents; a null doc_id
 is ordered as the empty string; an empty table gives an empty schedule; extra columns pass
-through, save those with the names of the three columns added, which they replace. If the budget asks for more than max_repeats of everything, it is lowered to that.
+through, save those with the names of the three columns added, which they replace; a very
+long text is one document, never cut. If the budget asks for more than max_repeats of
+everything, it is lowered to that.
 """
 
 from __future__ import annotations
@@ -29,6 +31,9 @@ from .frames import cut, words
 
 #: A step cuts the interval in so many parts; so many steps.
 PARTS, STEPS = 16, 12
+#: Quotas go to all tasks up to this size, measured; larger ones are joined by source and
+#: one of so many salts.
+QUOTA_BYTES, SALTS = 32 << 20, 64
 
 
 @dataclass(frozen=True)
@@ -106,6 +111,60 @@ def fit_exponent(sources: DataFrame, target: Target) -> Fit:
     return Fit(high, z, row["all"], budget)
 
 
+def _few(counts: DataFrame) -> bool:
+    size = counts.agg(F.sum(F.octet_length("_source") + 128)).first()[0]
+    return (size or 0) <= QUOTA_BYTES
+
+
+def _with_quota(df: DataFrame, quotas: DataFrame, few: bool, spread: str) -> DataFrame:
+    """df with the quota of its source, such that no task gets all rows of a source; `spread`
+    tells rows of a source apart."""
+    if few:
+        return df.join(F.broadcast(quotas), "_source")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
+    return (
+        df.withColumn("_salt", salt)
+        .join(quotas.withColumn("_salt", salts), ["_source", "_salt"])
+        .drop("_salt")
+    )
+
+
+def _placed(blocks: DataFrame) -> DataFrame:
+    """Adds to the blocks of each source and epoch, in the order of `_rank`, their place
+    (`block`, from 0) and the tokens before them (`before`).
+
+    A range shuffle puts the blocks in order, however many a source has; what a partition
+    holds of each source and epoch is one row, and the rows before it move its places. The
+    ordered blocks are written, since range bounds are sampled."""
+    order = ["_source", "epoch", "_rank", "_block"]
+    group = ["_source", "epoch", "_part"]
+    ordered = cut(
+        blocks.repartitionByRange(*order).select("*", F.spark_partition_id().alias("_part"))
+    )
+    inside = Window.partitionBy(*group).orderBy("_rank", "_block")
+    earlier = (
+        Window.partitionBy("_source", "epoch")
+        .orderBy("_part")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    held = ordered.groupBy(*group).agg(F.count("*").alias("n"), F.sum("tokens").alias("held"))
+    moved = held.select(
+        *group,
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_n"),
+        F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("_held"),
+    )
+    local = ordered.withColumn("block", F.row_number().over(inside) - 1).withColumn(
+        "before", F.sum("tokens").over(inside) - F.col("tokens")
+    )
+    return (
+        local.join(moved, group)
+        .withColumn("block", (F.col("block") + F.col("_n")).cast("int"))
+        .withColumn("before", F.col("before") + F.col("_held"))
+        .drop("_part", "_n", "_held")
+    )
+
+
 def schedule(
     docs: DataFrame, target: Target, block_docs: int = 1024, seed: int = 7
 ) -> DataFrame:
@@ -134,21 +193,22 @@ def schedule(
         .withColumn("rest", F.col("quota") % per_pass)
         .select("_source", "_blocks", "whole", "rest")
     )
-    dealt = sized.join(quotas.select("_source", "_blocks"), "_source").withColumn(
+    few = _few(counts)
+    dealt = _with_quota(sized, quotas.select("_source", "_blocks"), few, "_order").withColumn(
         "_block", _number(F.col("_order")) % F.col("_blocks")
     )
     blocks = dealt.groupBy("_source", "_block").agg(F.sum("_tokens").alias("tokens"))
-    by_epoch = Window.partitionBy("_source", "epoch").orderBy("_rank", "_block")
     last = F.col("whole") - F.when(F.col("rest") > 0, 0).otherwise(1)
     left = F.when(F.col("epoch") < F.col("whole"), 2**62).otherwise(F.col("rest") - F.col("before"))
-    plan = (
-        blocks.join(quotas.drop("_blocks"), "_source")
+    ranked = (
+        _with_quota(blocks, quotas.drop("_blocks"), few, "_block")
         .withColumn("_last", last)
         .filter("_last >= 0")
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), "_last")))
         .withColumn("_rank", _hash(F.lit(seed), F.col("_source"), F.col("epoch"), F.col("_block")))
-        .withColumn("block", F.row_number().over(by_epoch) - 1)
-        .withColumn("before", F.sum("tokens").over(by_epoch) - F.col("tokens"))
+    )
+    plan = (
+        _placed(ranked)
         .withColumn("_left", left)
         .filter("_left > 0")
         .select("_source", "_block", "epoch", "block", "_left")

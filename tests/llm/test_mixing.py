@@ -7,6 +7,9 @@ from math import log
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from roadpulse.llm import mixing
 from roadpulse.llm.mixing import Target, fit_exponent, schedule
 
 
@@ -82,3 +85,48 @@ def test_edge_cases(make_docs):
     assert schedule(clash, Target(max_repeats=2.0)).count() == len(got)
     with pytest.raises(ValueError):
         Target()
+
+
+@pytest.fixture
+def many_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_places_of_a_hot_source_over_many_partitions(spark, many_partitions):
+    blocks = spark.range(500).select(
+        F.when(F.col("id") < 400, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("_source"),
+        F.col("id").alias("_block"),
+        (F.col("id") % 2).cast("int").alias("epoch"),
+        F.md5(F.col("id").cast("string")).alias("_rank"),
+        (F.col("id") % 11).alias("tokens"),
+    )
+    placed = mixing._placed(blocks)
+    got = {(r._source, r.epoch, r._block): (r.block, r.before) for r in placed.collect()}
+    brute, n, held = {}, Counter(), Counter()
+    for r in sorted(blocks.collect(), key=lambda r: (r._source, r.epoch, r._rank, r._block)):
+        group = (r._source, r.epoch)
+        brute[*group, r._block] = (n[group], held[group])
+        n[group] += 1
+        held[group] += r.tokens
+    assert got == brute
+
+
+def test_salted_quotas_give_the_same_schedule(docs, monkeypatch, many_partitions):
+    target = Target(max_repeats=2.5)
+    broadcast = sorted(schedule(docs, target, block_docs=4).collect())
+    monkeypatch.setattr(mixing, "QUOTA_BYTES", -1)
+    assert sorted(schedule(docs, target, block_docs=4).collect()) == broadcast
+
+
+def test_no_row_is_shuffled_by_its_source(docs, make_docs):
+    plan = schedule(docs, Target(max_repeats=2.0))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_source#" in plan
+    for line in plan.splitlines():
+        if "hashpartitioning(_source#" in line:
+            keys = line.split("hashpartitioning(")[1].split(")")[0]
+            assert "_block#" in keys or "_part#" in keys or "epoch#" in keys, line
+    long = make_docs([(1, "w " * 200_000), (2, "w w")])
+    got = schedule(long, Target(max_repeats=1.0)).collect()
+    assert sorted(r.n_tokens for r in got) == [2, 200_000]
