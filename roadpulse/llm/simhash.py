@@ -5,7 +5,8 @@ distance of two such vectors never exceeds the Hamming distance of the fingerpri
 fingerprints within `max_bits` have vectors within `max_bits`. The vector is cut into
 blocks of segments; at least `blocks - max_bits` blocks then agree in full, so that
 linked fingerprints share a grid cell for at least one choice of that many blocks. A cell
-is range-joined on the total bit count and verified by Hamming distance. No link is lost
+is range-joined on the total bit count; pairs whose vectors are within `max_bits` by
+Manhattan distance are verified by Hamming distance. No link is lost
 and no cell is capped: cells with many members are dealt out as pairs of tiles.
 
 Only different fingerprints are compared, and each tile sends a spanning forest of its
@@ -98,14 +99,23 @@ def _cell_masks(blocks: int, max_bits: int) -> list[int]:
     return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
 
 
+def unary_counts(marks: np.ndarray) -> np.ndarray:
+    """The bit counts of the segments as 00, 01 and 11, so that the Manhattan distance of
+    two vectors is the number of bits that differ."""
+    low, half = np.uint64(LOW_BITS), marks >> np.uint64(1)
+    return ((marks & half & low) << np.uint64(1)) | ((marks | half) & low)
+
+
 def spanning_links(marks: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """A spanning forest of the links within max_bits among different fingerprints.
 
     Rows are ordered by their total bit count; a mark meets only the marks not yet
-    reached whose count differs by max_bits at most, and links are verified exactly."""
+    reached whose count differs by max_bits at most; those with vectors within max_bits are
+    verified exactly."""
     counts = np.bitwise_count(marks)
     order = np.argsort(counts, kind="stable")
     marks, counts = marks[order], counts[order].astype(np.int64)
+    vectors = unary_counts(marks)
     left = np.arange(len(marks))  # not yet reached, ordered by count
     links = []
     while len(left):
@@ -115,7 +125,9 @@ def spanning_links(marks: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
             a, b = np.searchsorted(
                 counts[left], (counts[at] - max_bits, counts[at] + max_bits + 1)
             )
-            near = np.flatnonzero(np.bitwise_count(marks[left[a:b]] ^ marks[at]) <= max_bits) + a
+            apart = np.bitwise_count(vectors[left[a:b]] ^ vectors[at])
+            near = np.flatnonzero(apart <= max_bits) + a
+            near = near[np.bitwise_count(marks[left[near]] ^ marks[at]) <= max_bits]
             if len(near):
                 links += [(at, x) for x in left[near]]
                 queue += left[near].tolist()

@@ -16,6 +16,7 @@ from roadpulse.llm.simhash import (
     fingerprint_links,
     simhash_groups,
     spanning_links,
+    unary_counts,
 )
 
 SF = "/root/testdata/sf0.001"
@@ -147,3 +148,17 @@ def test_the_row_that_stays_is_the_first_of_its_group(make_docs, prose):
     docs = make_docs([(1, a), (3, a), (3, b), (4, b)])
     kept = [(r.doc_id, r.text) for r in drop_near_copies(docs).collect()]
     assert sorted(kept) == [(1, a), (3, b)]
+
+
+def test_unary_counts_give_the_manhattan_distance_below_the_hamming_distance():
+    r = np.random.default_rng(5)
+    marks = r.integers(0, 2**64, 200, np.uint64)
+    marks[100:] = marks[:100] ^ (np.uint64(1) << r.integers(0, 64, 100, np.uint64))
+    vectors = unary_counts(marks)
+    counts = np.array([[int(m) >> 2 * s & 1 for s in range(32)] for m in marks]) + np.array(
+        [[int(m) >> 2 * s + 1 & 1 for s in range(32)] for m in marks]
+    )
+    for a in range(0, 200, 7):
+        manhattan = np.abs(counts - counts[a]).sum(axis=1)
+        assert (np.bitwise_count(vectors ^ vectors[a]) == manhattan).all()
+        assert (manhattan <= np.bitwise_count(marks ^ marks[a])).all()
