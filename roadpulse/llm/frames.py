@@ -20,8 +20,8 @@ ID, SIG = "_doc", "_sig"
 
 def cut(df: DataFrame) -> DataFrame:
     """The frame, written below `spark.checkpoint.dir`, so that neither a lost executor
-    nor a second reader computes it again. Only a local session without that setting gets
-    a folder of its own."""
+    nor a second reader computes it again. It goes when the application ends. Only a local
+    session without that setting gets a folder of its own."""
     _folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -36,6 +36,9 @@ def _folder(spark: SparkSession) -> str:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             where = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(where)
+    # a folder of this application's own: Spark names it anew in the one that was set
+    path, files = _located(spark, context.getCheckpointDir())
+    files.deleteOnExit(path)
     return context.getCheckpointDir()
 
 
