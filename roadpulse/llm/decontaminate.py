@@ -8,11 +8,14 @@ depends on the item's size only, misses nothing however long the document is. It
 partitioned by size, so that a document is searched for the sketches of items it can hold.
 Candidates are verified by their exact shingles.
 
+An item of one to four words has itself as its only shingle: it is looked for among the runs
+of exactly that many words of each document, by hash and then exactly.
+
 Items go to the workers in blocks of at most `block_bytes` of text, one scan of the
 documents for each block.
 
-Defined results: null and empty texts hold nothing and are in nothing; a text of one to
-four words has itself as its only shingle, so such an item is found as a whole text only;
+Defined results: null and empty texts hold nothing and are in nothing; an item of one to
+four words is inside every text with these words in a row, however long the text is;
 repeated items are searched once; a null id is reported as null; each row of docs is
 judged alone, equal rows alike; extra columns do not matter.
 """
@@ -36,28 +39,18 @@ def least_common(q: int, threshold: float) -> int:
     return max(1, ceil(threshold * q - _ROUNDING))
 
 
-def shingle_texts(text: bytes, size: int) -> list[bytes]:
-    """The shingles of a lower-cased text, repeats included."""
+def shingle_texts(text: bytes, width: int) -> list[bytes]:
+    """The runs of `width` words of a lower-cased text, repeats included."""
     packed, places, _ = word_units(text)
-    n = len(places) - 1
-    if n <= size:
-        return [packed] if n else []
     at = places.tolist()
-    return [packed[at[i] : at[i + size] - 1] for i in range(n - size + 1)]
-
-
-def shingle_hashes(units: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of the shingles, from the hashes of the words."""
-    if len(units) <= size:
-        sizes = [len(units)] if len(units) else []
-    else:
-        sizes = [size]
-    if not sizes:
-        return np.zeros(0, np.uint64)
-    width = sizes[0]
-    n = len(units) - width + 1
+    return [packed[at[i] : at[i + width] - 1] for i in range(len(at) - width)]
+
+
+def shingle_hashes(units: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the runs of `width` words, from the hashes of the words."""
+    n = max(0, len(units) - width + 1)
     total = np.full(n, width, np.uint64)
-    for i in range(width):
+    for i in range(width if n else 0):
         total = total * np.uint64(0x9E3779B97F4A7C15) + units[i : i + n]
     return mixed_bits(total)
 
@@ -66,51 +59,62 @@ class Sketches:
     """The sketches of a block of items, partitioned by size."""
 
     def __init__(self, items: list[tuple[int | None, str]], size: int, threshold: float):
-        self.size = size
         self.items = []  # (id, shingles, least number in common)
-        parts: dict[int, list[tuple[np.ndarray, int]]] = {}
+        parts: dict[tuple[int, int], list[tuple[np.ndarray, int]]] = {}
         for item, text in items:
             raw = text.encode().lower()
-            shingles = frozenset(shingle_texts(raw, size))
-            if not shingles:
+            units = word_units(raw)[2]
+            if not len(units):
                 continue
+            width = min(size, len(units))
+            shingles = frozenset(shingle_texts(raw, width))
             q = len(shingles)
             need = least_common(q, threshold)
-            hashes = np.unique(shingle_hashes(word_units(raw)[2], size))
-            parts.setdefault(q.bit_length(), []).append((hashes[: q - need + 1], len(self.items)))
+            hashes = np.unique(shingle_hashes(units, width))
+            own = parts.setdefault((width, q.bit_length()), [])
+            own.append((hashes[: q - need + 1], len(self.items)))
             self.items.append((item, shingles, need))
-        self.parts = []  # (least number in common, sorted hashes, their items)
-        for own in parts.values():
+        #: by width of the shingles: (least number in common, sorted hashes, their items)
+        self.parts: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
+        for (width, _), own in parts.items():
             hashes = np.concatenate([h for h, _ in own])
             owners = np.concatenate([np.full(len(h), i) for h, i in own])
             order = np.argsort(hashes)
             need = min(self.items[i][2] for _, i in own)
-            self.parts.append((need, hashes[order], owners[order]))
-        self.parts.sort(key=lambda p: p[0])
+            self.parts.setdefault(width, []).append((need, hashes[order], owners[order]))
+        for own in self.parts.values():
+            own.sort(key=lambda p: p[0])
 
     def find(self, text: bytes) -> list[tuple[int | None, int, int]]:
         """(item, its shingles, those in the text) of the items inside a text."""
         text = text.lower()
-        hashes = np.unique(shingle_hashes(word_units(text)[2], self.size))
-        candidates: set[int] = set()
-        for need, sketch, owners in self.parts:
-            if need > len(hashes):
-                break
-            a = np.searchsorted(hashes, sketch)
-            there = hashes[np.minimum(a, len(hashes) - 1)] == sketch
-            candidates.update(owners[there].tolist())
-        if not candidates:
-            return []
-        own = set(shingle_texts(text, self.size))
+        units = word_units(text)[2]
         found = []
-        for i in sorted(candidates):
-            item, shingles, need = self.items[i]
-            common = len(shingles & own)
-            if common >= need:
-                found.append((item, len(shingles), common))
+        for width, parts in self.parts.items():
+            candidates = _candidates(np.unique(shingle_hashes(units, width)), parts)
+            if not candidates:
+                continue
+            own = set(shingle_texts(text, width))
+            for i in sorted(candidates):
+                item, shingles, need = self.items[i]
+                common = len(shingles & own)
+                if common >= need:
+                    found.append((item, len(shingles), common))
         return found
 
 
+def _candidates(hashes: np.ndarray, parts: list[tuple[int, np.ndarray, np.ndarray]]) -> set[int]:
+    """The items of which a sketched hash is among the sorted hashes of a text."""
+    candidates: set[int] = set()
+    for need, sketch, owners in parts:
+        if need > len(hashes):
+            break
+        a = np.searchsorted(hashes, sketch)
+        there = hashes[np.minimum(a, len(hashes) - 1)] == sketch
+        candidates.update(owners[there].tolist())
+    return candidates
+
+
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
     block, held = [], 0
     rows = benchmark.select("item_id", "text").filter("text is not null").distinct()

@@ -107,16 +107,19 @@ WORDS = "regexp_extract_all(%s, '[^\\x20\\x09-\\x0D]+')"
 
 
 def contamination(size: int = 5, threshold: float = 0.8) -> str:
-    def shingles(name: str, row_id: str) -> str:
-        words = WORDS % (LOWER % "coalesce(text, '')")
-        return f"""
-  SELECT DISTINCT {row_id}, unnest(CASE WHEN len(w) BETWEEN 1 AND {size} THEN
-    [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - {size - 2}),
-    lambda i: array_to_string(w[i:i+{size - 1}], ' ')) END) AS s
-  FROM (SELECT {row_id}, {words} AS w FROM {name})"""
+    def worded(name: str, row_id: str) -> str:
+        return f"SELECT {row_id}, {WORDS % (LOWER % "coalesce(text, '')")} AS w FROM {name}"
 
+    runs = "list_transform(range(1, len(w) - width + 2), lambda i: " \
+        "array_to_string(w[i:i+width-1], ' '))"
     return f"""
-WITH items AS ({shingles("benchmark", "item_id")}), docs AS ({shingles("documents", "doc_id")}),
+WITH sized AS (
+  SELECT *, least(len(w), {size}) AS width FROM ({worded("benchmark", "item_id")}) WHERE len(w) > 0
+), items AS (SELECT DISTINCT item_id, unnest({runs}) AS s FROM sized),
+docs AS (
+  SELECT DISTINCT doc_id, unnest({runs}) AS s
+  FROM ({worded("documents", "doc_id")}), (SELECT DISTINCT width FROM sized)
+),
 sizes AS (SELECT item_id, count(*) AS n_shingles FROM items GROUP BY item_id)
 SELECT doc_id, item_id, n_shingles::INTEGER AS n_shingles, count(*)::INTEGER AS n_common
 FROM docs JOIN items USING (s) JOIN sizes USING (item_id)
