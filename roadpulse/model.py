@@ -141,6 +141,10 @@ class Fleet:
     def quality_totals(self) -> DataFrame:
         return quality.quality_totals(self.raw.telemetry, self._checks, self.settings)
 
+    @cached_property
+    def _crowded(self) -> list[DataFrame]:
+        return segments.crowded_slices(self.raw.telemetry, self.workspace)
+
     @cached_property
     def ordered(self) -> Timeline:
         """Points in order, with look-back columns, speed limit and the runs of all three
@@ -148,13 +152,14 @@ class Fleet:
         points = quality.clean_telemetry(self._checks, segments.POINT)
         limited = anomalies.with_speed_limit(points, self.dim_vehicle)
         runs = anomalies.runs_of(anomalies.detectors(self.settings), self.settings)
-        timeline = segments.order_points(limited, runs)
+        timeline = segments.order_points(limited, runs, self._crowded)
         return timeline.with_frame(self._cut(timeline.frame, "ordered"))
 
     @cached_property
     def tel_ordered(self) -> DataFrame:
         columns = [*self.clean_telemetry.columns, "seq", *segments.LOOK_BACK]
-        return segments.order_points(self.clean_telemetry).frame.select(*columns)
+        ordered = segments.order_points(self.clean_telemetry, crowded=self._crowded)
+        return ordered.frame.select(*columns)
 
     @cached_property
     def tel_pairs(self) -> DataFrame:

@@ -1,7 +1,7 @@
 """Ordered points per key, with look-back columns and runs, that survive a hot key.
 
-Points are cut into slices of time, so that a key with much of the data is ordered by
-many tasks. Windows run per (key, slice), on one sort. What a slice needs from the ones
+Points are cut into slices of time (see ``slices``), so that a key with much of the data is
+ordered by many tasks. Windows run per (key, slice), on one sort. What a slice needs from the ones
 before it is one state per slice: its size, its last point, its first point, and per flag
 the last place at which no run goes on. The states of a key merge in order, and one join
 brings the result back to the points. There is one shape for every key and every size.
@@ -9,14 +9,14 @@ brings the result back to the points. There is one shape for every key and every
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.functions import elapsed_seconds
-
-SLICE = "_slice"
+from roadpulse.operators.slices import SLICE, sliced
 
 
 @dataclass(frozen=True)
@@ -182,9 +182,8 @@ class Timeline:
 
 
 def open_timeline(
-    df: DataFrame, key: str, order: tuple[str, ...], slice_of: Column
+    df: DataFrame, key: str, order: tuple[str, str], rounds: Sequence[DataFrame] = ()
 ) -> Timeline:
-    """The timeline of ``df``. ``slice_of`` must not fall along the order (such as the day
-    of a time); rows without one come last."""
-    placed = F.coalesce(slice_of.cast("string"), F.lit("~"))
-    return Timeline(df.withColumn(SLICE, placed), key, order)
+    """The timeline of ``df``, ordered by a time and an id, in slices of a day; ``rounds``
+    are the crowded ones that are cut further. Rows without a time come last."""
+    return Timeline(sliced(df, key, order, rounds), key, order)

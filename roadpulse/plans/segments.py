@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse import operators
 from roadpulse.functions import date_key, elapsed_seconds
 from roadpulse.operators import Runs, Timeline, open_timeline
+from roadpulse.session import Workspace
 from roadpulse.settings import Settings
 
 ORDER = ("event_timestamp", "event_id")
 
+# Points of one vehicle that a task orders at once, where their times or ids tell them apart.
+SLICE_ROWS = 1_000_000
+
 # what the plans on ordered points read of a point
 POINT = (
     "event_id",
@@ -35,10 +42,17 @@ LOOK_BACK = {
 }
 
 
-def order_points(points: DataFrame, runs: Runs | None = None) -> Timeline:
-    """Points in order per vehicle, in slices of a day, with the runs of their flags; those
-    without a time come last."""
-    timeline = open_timeline(points, "vehicle_id", ORDER, F.to_date("event_timestamp"))
+def crowded_slices(telemetry: DataFrame, workspace: Workspace) -> list[DataFrame]:
+    """Days of a vehicle, and its points without a time, that are too many for one task."""
+    return operators.crowded_slices(telemetry, "vehicle_id", ORDER, SLICE_ROWS, workspace.cut)
+
+
+def order_points(
+    points: DataFrame, runs: Runs | None = None, crowded: Sequence[DataFrame] = ()
+) -> Timeline:
+    """Points in order per vehicle, with the runs of their flags; those without a time come
+    last. They are ordered in slices of a day, or less where ``crowded`` says so."""
+    timeline = open_timeline(points, "vehicle_id", ORDER, crowded)
     return timeline.in_order("seq", LOOK_BACK, runs)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from dataclasses import replace
 
@@ -35,6 +36,43 @@ def test_sliced_points_equal_one_window_per_vehicle(fleet):
     assert rows(fleet.tel_ordered) == rows(plain)
 
 
+def crowded_points() -> list[dict]:
+    """Nine tenths of the points on one day of V1: a busy minute, one instant with many
+    points, and many without a time."""
+    rng = random.Random(5)
+    points = [point(f"a{i:05}", rng.random() * 60, speed_kmph=80.0) for i in range(400)]
+    points += [point(f"EV-00{rng.randrange(10**6):06}x{i}", 30.5) for i in range(400)]
+    points += [point(f"é{i}" if i % 2 else f"n{i}", None) for i in range(400)]
+    points += [point("", 30.5), point("", None)]
+    points += [point(f"r{i}", rng.random() * 86400 * 3, vehicle_id="V2") for i in range(60)]
+    points += [point("same", 70_000) for _ in range(300)]  # one id: nothing to cut
+    rng.shuffle(points)
+    return points
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_crowded_days_are_cut_further(make_fleet, monkeypatch, staged):
+    whole = make_fleet(crowded_points())
+    expected = rows(whole.tel_ordered)
+    events = rows(whole.unkeyed_anomalies)
+    assert whole.ordered.frame.filter("vehicle_id = 'V1'").select(SLICE).distinct().count() == 3
+    monkeypatch.setattr(segments, "SLICE_ROWS", 40)
+    fleet = make_fleet(crowded_points(), staged=staged)
+    assert rows(fleet.tel_ordered) == expected and events
+    assert rows(fleet.unkeyed_anomalies) == events
+    sizes = fleet.ordered.frame.groupBy("vehicle_id", SLICE).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 40
+    quiet = fleet.ordered.frame.filter("vehicle_id = 'V2'")
+    assert quiet.agg(F.max(F.length(SLICE))).first()[0] == 10  # only crowded days are cut
+    fleet.release()
+
+
+def test_nothing_is_cut_without_crowds(make_fleet):
+    for points in ([], [point("a", 0), point(None, None, vehicle_id=None)]):
+        fleet = make_fleet(points)
+        assert fleet._crowded == [] and fleet.tel_ordered.count() == min(1, len(points))
+
+
 def test_staging_changes_nothing_and_leaves_nothing(spark, fleet):
     staged = Fleet(spark, fleet.raw, TESTBED_SETTINGS, staged=True)
     tables = ("dq_log", "fact_daily_vehicle_summary", "fact_trip_summary", "fact_anomaly_events")
