@@ -8,7 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from roadpulse.llm import superkmers
+from roadpulse.llm import lpf_dedup, superkmers
 from roadpulse.llm.lpf_dedup import (
     drop_repeats,
     previous_factors,
@@ -134,6 +134,62 @@ def test_previous_factors_against_brute_force(seed):
             assert at < i and (s[at : at + n] == s[i : i + n]).all()
 
 
+def with_copies(rng, size):
+    """Symbols with copied stretches and some that occur once, as separators do."""
+    s = rng.integers(0, rng.integers(1, 6), size)
+    for _ in range(4):
+        a, b = rng.integers(0, size, 2)
+        n = min(int(rng.integers(1, 90)), size - max(a, b))
+        s[b : b + n] = s[a : a + n].copy()
+    once = rng.integers(0, size, 3)
+    s[once] = 300 + np.arange(3)
+    return s
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 5, 8, 9, 16, 40])
+@pytest.mark.parametrize("limits", [{}, {"_PACKED_BITS": 3}, {"_MOST_CODES": 4}])
+def test_copies_of_any_length_against_brute_force(length, limits, monkeypatch):
+    """Also with keys too wide to pack and with too many symbols for the first sort."""
+    for name, value in limits.items():
+        monkeypatch.setattr(lpf_dedup, name, value)
+    for seed in range(30):
+        s = with_copies(np.random.default_rng(seed), 250)
+        places = defaultdict(list)
+        for i in range(len(s) - length + 1):
+            places[s[i : i + length].tobytes()].append(i)
+        later = {i for p in places.values() for i in p[1:]}
+        earlier = {p[0] for p in places.values() if len(p) > 1}
+        longest, source = previous_factors(s, length)
+        copy = np.flatnonzero(longest >= length)
+        assert set(copy.tolist()) == later, seed
+        assert earlier <= set(source[copy].tolist()) <= earlier | later, seed
+
+
+def test_only_long_runs_are_sorted_on(prose):
+    """Prose shares short strings everywhere; the sort goes on with copies alone."""
+    passage = prose(70, 90)
+    text = f"{prose(71, 2000)} {passage} {prose(72, 2000)} {passage} {prose(73, 2000)}"
+    symbols = np.frombuffer(text.encode(), np.uint8).astype(np.int64)
+    _, last = lpf_dedup._class_ranks(symbols, 400)
+    first = text.index(passage)
+    own = set(range(first - 20, first + len(passage) + 20))
+    own |= {i + text.rindex(passage) - first for i in own}
+    assert len(passage) > 400 and len(last) and set(last.tolist()) <= own
+
+
+def test_common_phrases_do_not_make_long_windows_meet(prose):
+    """Keys of 400-byte windows are longer than a phrase: nothing of these texts is packed."""
+    phrase = prose(80, 12)[:40]
+    windows = lpf_dedup._windows(400)
+    docs = defaultdict(set)
+    for n in range(60):
+        text = " ".join(f"{prose(1000 + 10 * n + i, 12)} {phrase}" for i in range(10))
+        for _, _, key, _ in windows.cut(text.encode()):
+            docs[key].add(n)
+    assert docs and not any(len(d) > 1 for d in docs.values())
+    assert windows.m == 64 and lpf_dedup._windows(240).m == 32 and lpf_dedup._windows(60).m == 16
+
+
 def test_test_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()]
